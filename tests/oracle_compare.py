@@ -1,0 +1,98 @@
+"""Run registered queries in Spark and their SQL in DuckDB, and compare.
+
+Comparison: row count, column names, and an order-insensitive hash of the
+values with columns sorted by name. Usable from tests and as a script:
+
+    python tests/oracle_compare.py [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import hashlib
+import json
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+
+ROOT = Path(__file__).resolve().parents[1]
+if str(ROOT) not in sys.path:
+    sys.path.insert(0, str(ROOT))
+
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
+
+
+def _norm(v):
+    if v is None:
+        return "∅"
+    if isinstance(v, float):
+        return repr(round(v, 6))
+    if isinstance(v, decimal.Decimal):
+        return format(v.normalize(), "f") if v == v else "nan"
+    if isinstance(v, dt.datetime):
+        return v.isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return str(v)
+
+
+def digest(columns: list[str], rows: list[tuple]) -> str:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    lines = sorted("|".join(_norm(r[i]) for i in order) for r in rows)
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        p = Path(sf_dir) / f"{t}.parquet"
+        if p.exists():
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def compare(spark, sf_dir: str, names: list[str] | None = None) -> dict[str, dict]:
+    import __spark_entry__ as E
+
+    qs, sqls = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    out = {}
+    for name in names or list(qs):
+        rec: dict = {}
+        t0 = time.time()
+        df = qs[name](spark, sf_dir)
+        s_cols = df.columns
+        s_rows = [tuple(r) for r in df.collect()]
+        rec["spark_sec"] = round(time.time() - t0, 2)
+        rec["rows"] = len(s_rows)
+        if name in sqls:
+            res = con.execute(sqls[name])
+            o_cols = [d[0] for d in res.description]
+            o_rows = res.fetchall()
+            rec["oracle_rows"] = len(o_rows)
+            rec["columns_match"] = sorted(s_cols) == sorted(o_cols)
+            rec["hash_match"] = digest(s_cols, s_rows) == digest(o_cols, o_rows)
+            rec["match"] = rec["columns_match"] and rec["hash_match"] and len(s_rows) == len(o_rows)
+            if not rec["columns_match"]:
+                rec["spark_cols"], rec["oracle_cols"] = s_cols, o_cols
+        out[name] = rec
+    return out
+
+
+if __name__ == "__main__":
+    from abode.session import build_session
+
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    names = sys.argv[2:] or None
+    spark = build_session("local[8]", shuffle_partitions=8)
+    result = compare(spark, sf, names)
+    for k, v in result.items():
+        print(k, json.dumps(v))
+    bad = [k for k, v in result.items() if not v.get("match", True)]
+    print("MISMATCH:", bad)
