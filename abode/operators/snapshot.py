@@ -32,18 +32,21 @@ def dedup_by_address(batch: DataFrame, order_by: Sequence[str] | None = None) ->
     ``min(struct(order..., rest...))`` per address is a plain aggregate, so a
     hot address is collapsed by the map-side partial aggregate before the
     shuffle instead of landing in one task as a window partition would.
-    Rows with a null address never conflict and pass through unchanged.
+    Rows with a null address never conflict: each gets a group of its own
+    (keyed by a row id that is null for every non-null address), so the
+    input is read once.
     """
     order = list(order_by or default_order(batch))
     rest = [c for c in batch.columns if c not in order and c != "address"]
-    winners = (
-        batch.filter(F.col("address").isNotNull())
-        .groupBy("address")
+    return (
+        batch.withColumn(
+            "_lone", F.when(F.col("address").isNull(), F.monotonically_increasing_id())
+        )
+        .groupBy("address", "_lone")
         .agg(F.min(F.struct(*order, *rest)).alias("_w"))
         .select("address", "_w.*")
         .select(*batch.columns)
     )
-    return winners.unionByName(batch.filter(F.col("address").isNull()))
 
 
 def to_listings(enriched: DataFrame, id_col: str = "source_id") -> DataFrame:

@@ -1,0 +1,30 @@
+"""Every registered query against its DuckDB statement on the smallest tables."""
+
+import pytest
+
+from tests.conftest import SF_SMALL
+from tests.oracle_compare import compare
+
+
+@pytest.fixture(scope="module")
+def results(spark):
+    return compare(spark, SF_SMALL)
+
+
+def test_every_query_has_an_oracle():
+    import __spark_entry__ as E
+
+    assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_all_queries_match_oracle(results):
+    bad = {k: v for k, v in results.items() if not v.get("match")}
+    assert not bad, bad
+
+
+def test_entry_runs(spark):
+    import __spark_entry__ as E
+
+    df = E.entry(spark)
+    assert df.count() > 0
+    assert "price_minus_avg" in df.columns
