@@ -25,6 +25,7 @@ from abode.params import (
     UPDATE_SEED,
 )
 from abode.plans.batch_run import RunConfig, run_batch
+from abode.plans.materialize import materialize
 from abode.schemas import ENRICHED, LISTING_COLUMNS, LISTINGS, PRICE_TYPE, RAW_JSON
 from abode.session import scratch_path
 from abode.sinks import write_raw_jsonl, write_snapshot
@@ -46,12 +47,23 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.to_listings(enriched(spark, sf_dir))
 
 
+def stored_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listings table as a stored snapshot.
+
+    Changes read the table several times (sample histogram, boundary, the
+    change itself), as a run reads the previous snapshot from storage; the
+    derivation from the supplied tables is therefore materialized once in
+    the shared checkpoint folder instead of being recomputed per pass.
+    """
+    return materialize(listings(spark, sf_dir))
+
+
 def current_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with ``source_id % 3 = 0`` form the current table, the rest one
-    incoming batch. Both halves together are the whole table."""
+    """Rows with ``source_id % 3 = 0`` form the current table (stored), the
+    rest one incoming batch. Both halves together are the whole table."""
     e = enriched(spark, sf_dir)
     third = F.col("source_id") % 3
-    return snapshot.to_listings(e.filter(third == 0)), e.filter(third != 0)
+    return materialize(snapshot.to_listings(e.filter(third == 0))), e.filter(third != 0)
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -150,6 +162,10 @@ def _on_listings(fn, *args):
     return lambda spark, sf_dir: fn(listings(spark, sf_dir), *args)
 
 
+def _on_stored(fn, *args):
+    return lambda spark, sf_dir: fn(stored_listings(spark, sf_dir), *args)
+
+
 # --- snapshot changes and churn ---------------------------------------------------
 
 
@@ -173,13 +189,13 @@ def _with_unknown_id(table: DataFrame, rows: DataFrame, price=None) -> DataFrame
 
 
 def q_delete_by_key(spark, sf_dir):
-    table = listings(spark, sf_dir)
+    table = stored_listings(spark, sf_dir)
     keys = _with_unknown_id(table, churn.churn_delete_keys(table, DELETE_SEED, PCT))
     return snapshot.delete_by_key(table, keys)
 
 
 def q_upsert_price(spark, sf_dir):
-    table = listings(spark, sf_dir)
+    table = stored_listings(spark, sf_dir)
     delta = _with_unknown_id(table, churn.reprice_sample(table, UPDATE_SEED, PCT), UNKNOWN_PRICE)
     return snapshot.upsert_price(table, delta)
 
@@ -226,13 +242,13 @@ def queries() -> dict[str, Query]:
         "price_vs_age_peers": _on_listings(reports.price_vs_age_peers),
         "insert_ignore": q_insert_ignore,
         "churn_sample_size": q_churn_sample_size,
-        "churn_delete_keys": _on_listings(churn.churn_delete_keys, DELETE_SEED, PCT),
-        "churn_delete_rows": _on_listings(churn.churn_delete_rows, DELETE_SEED, PCT),
+        "churn_delete_keys": _on_stored(churn.churn_delete_keys, DELETE_SEED, PCT),
+        "churn_delete_rows": _on_stored(churn.churn_delete_rows, DELETE_SEED, PCT),
         "delete_by_key": q_delete_by_key,
-        "apply_churn_delete": _on_listings(churn.apply_churn_delete, DELETE_SEED, PCT),
-        "reprice_sample": _on_listings(churn.reprice_sample, UPDATE_SEED, PCT),
+        "apply_churn_delete": _on_stored(churn.apply_churn_delete, DELETE_SEED, PCT),
+        "reprice_sample": _on_stored(churn.reprice_sample, UPDATE_SEED, PCT),
         "upsert_price": q_upsert_price,
-        "apply_churn_update": _on_listings(churn.apply_churn_update, UPDATE_SEED, PCT),
+        "apply_churn_update": _on_stored(churn.apply_churn_update, UPDATE_SEED, PCT),
         "full_batch_run": q_full_batch_run,
     }
 

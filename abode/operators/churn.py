@@ -15,7 +15,7 @@ import random
 from dataclasses import dataclass
 from decimal import ROUND_HALF_EVEN, Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abode import functions as AF
@@ -69,43 +69,36 @@ class SampleCut:
         return F.coalesce(pred, F.lit(False))
 
 
-def find_cut(table: DataFrame, seed: int, k: int, key: str = "listing_id") -> SampleCut:
-    """Locate the k-th smallest (seeded hash, key) pair without a global sort.
+def _histogram(scope: DataFrame, prefix_len: int) -> list[tuple[str, int]]:
+    """Counts per hash prefix, in prefix order.
 
-    Each level histograms the first few hex digits of the hash (partial
-    aggregation, at most 65,536 groups), finds the bucket where the running
-    count reaches ``k``, and narrows the search to that bucket. md5 spreads
-    unique keys evenly, so one level suffices up to ~10^10 rows and each extra
-    level divides the boundary by 65,536. The last bucket is resolved by a
-    top-k bounded by ``BOUNDARY_MAX_ROWS``. Each level returns one row to the
-    driver.
+    The result has at most ``16 ** PREFIX_STEP`` rows whatever the table
+    size (the prefix space bounds it), so it is returned to the driver like
+    any small summary. It is computed with map-side partial aggregation.
     """
-    if k <= 0:
-        return SampleCut(None, None, seed, key)
-    scope = table.select(F.col(key).alias("_k"), AF.sample_hash(key, seed).alias("_h")).filter(
+    bucket = F.substring("_h", 1, prefix_len)
+    rows = scope.groupBy(bucket.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect()
+    return sorted((r["_p"], int(r["_n"])) for r in rows)
+
+
+def _scope(table: DataFrame, seed: int, key: str) -> DataFrame:
+    return table.select(F.col(key).alias("_k"), AF.sample_hash(key, seed).alias("_h")).filter(
         F.col("_k").isNotNull()
     )
+
+
+def _resolve(scope: DataFrame, hist, prefix_len: int, k: int, seed: int, key: str) -> SampleCut:
+    """Walk the histograms down to the k-th smallest (hash, key) pair."""
     remaining = k
-    prefix_len = 0
     while True:
-        prefix_len += PREFIX_STEP
-        bucket = F.substring("_h", 1, prefix_len)
-        hist = scope.groupBy(bucket.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-        running = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        crossing = (
-            hist.withColumn("_cum", F.sum("_n").over(running))
-            .filter(F.col("_cum") >= remaining)
-            .orderBy("_p")
-            .limit(1)
-            .collect()
-        )
-        if not crossing:  # fewer than k keys: everything is sampled
-            top = scope.agg(F.max(F.struct("_h", "_k")).alias("m")).collect()[0]["m"]
-            return SampleCut(top["_h"], top["_k"], seed, key) if top else SampleCut(None, None, seed, key)
-        row = crossing[0]
-        remaining -= row["_cum"] - row["_n"]
-        scope = scope.filter(bucket == F.lit(row["_p"]))
-        if row["_n"] <= BOUNDARY_MAX_ROWS or prefix_len >= 32:
+        before = 0
+        for prefix, count in hist:
+            if before + count >= remaining:
+                break
+            before += count
+        remaining -= before
+        scope = scope.filter(F.substring("_h", 1, prefix_len) == F.lit(prefix))
+        if count <= BOUNDARY_MAX_ROWS or prefix_len >= 32:
             last = (
                 scope.orderBy("_h", "_k")
                 .limit(int(remaining))
@@ -113,11 +106,42 @@ def find_cut(table: DataFrame, seed: int, k: int, key: str = "listing_id") -> Sa
                 .collect()[0]["m"]
             )
             return SampleCut(last["_h"], last["_k"], seed, key)
+        prefix_len = min(32, prefix_len + PREFIX_STEP)
+        hist = _histogram(scope, prefix_len)
+
+
+def _cut(scope: DataFrame, hist, k: int, seed: int, key: str) -> SampleCut:
+    n = sum(c for _, c in hist)
+    if k <= 0:
+        return SampleCut(None, None, seed, key)
+    if k >= n:  # the sample is the whole table
+        top = scope.agg(F.max(F.struct("_h", "_k")).alias("m")).collect()[0]["m"]
+        return SampleCut(top["_h"], top["_k"], seed, key)
+    return _resolve(scope, hist, PREFIX_STEP, k, seed, key)
+
+
+def find_cut(table: DataFrame, seed: int, k: int, key: str = "listing_id") -> SampleCut:
+    """Locate the k-th smallest (seeded hash, key) pair without a global sort.
+
+    Each level histograms a few more hex digits of the hash (at most 65,536
+    groups), finds the bucket where the running count reaches ``k``, and
+    narrows the search to that bucket. md5 spreads unique keys evenly, so one
+    level suffices up to ~10^10 rows and each extra level divides the
+    boundary by 65,536. The last bucket is resolved by a top-k bounded by
+    ``BOUNDARY_MAX_ROWS``.
+    """
+    if k <= 0:
+        return SampleCut(None, None, seed, key)
+    scope = _scope(table, seed, key)
+    return _cut(scope, _histogram(scope, PREFIX_STEP), k, seed, key)
 
 
 def sample_cut(table: DataFrame, seed: int, pct, key: str = "listing_id") -> SampleCut:
-    n = table.count()
-    return find_cut(table, seed, sample_size(n, pct), key)
+    """Cut for ``k = round(n * pct)``; the first histogram also yields ``n``,
+    so counting and the first level share one pass over the keys."""
+    scope = _scope(table, seed, key)
+    hist = _histogram(scope, PREFIX_STEP)
+    return _cut(scope, hist, sample_size(sum(c for _, c in hist), pct), seed, key)
 
 
 def churn_delete_keys(table: DataFrame, seed: int, pct) -> DataFrame:
