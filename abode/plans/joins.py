@@ -4,23 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from abode.plans.materialize import materialize
 
-# Upper bound on rows of a side we are willing to ship to every executor.
-# Sides here are narrow (a few keys and one or two numbers), so 2M rows stay
-# far below executor memory.
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest side (estimated bytes: rows x schema width) shipped to every
+# executor. Above it the join is a shuffle join with AQE skew splitting.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+def row_width(schema: T.StructType) -> int:
+    """Rough in-memory bytes per row (strings counted as 32 bytes)."""
+    width = 8
+    for field in schema.fields:
+        t = field.dataType
+        if isinstance(t, T.StringType):
+            width += 32
+        elif isinstance(t, T.DecimalType):
+            width += 8 if t.precision <= 18 else 16
+        elif isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+            width += 8
+        elif isinstance(t, (T.IntegerType, T.DateType, T.FloatType)):
+            width += 4
+        elif isinstance(t, (T.BooleanType, T.ByteType, T.ShortType)):
+            width += 2
+        else:
+            width += 64
+    return width
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """Materialize ``df``, count it, and broadcast it only when small enough.
 
-    Returns the (materialized) frame, hinted for broadcast when its row count
-    is at most ``max_rows``, and whether the hint was applied. Above the bound
-    the frame is returned unhinted, so the join falls back to a shuffle join
-    (with AQE skew splitting).
+    Returns the (materialized) frame, hinted for broadcast when its row
+    count times its row width is at most ``max_bytes``, and whether the hint
+    was applied. Above the bound the frame is returned unhinted, so the join
+    falls back to a shuffle join.
     """
+    limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
     df = materialize(df)
-    small = df.count() <= max_rows
+    small = df.count() * row_width(df.schema) <= limit
     return (F.broadcast(df) if small else df), small

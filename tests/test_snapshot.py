@@ -14,10 +14,7 @@ def join_path(request, monkeypatch):
     """Run each test with the size-checked broadcast path and with the
     shuffle path (bound forced to zero)."""
     if request.param == "shuffle":
-        monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", -1)
-        monkeypatch.setattr(
-            snapshot, "bounded_broadcast", lambda df, max_rows=-1: joins.bounded_broadcast(df, -1)
-        )
+        monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", -1)
     return request.param
 
 
@@ -109,3 +106,13 @@ def test_keys_unique_after_insert(spark):
     n = out.count()
     assert out.select("listing_id").distinct().count() == n
     assert out.select("address").distinct().count() == n
+
+
+def test_bound_decides_join_strategy(spark, join_path):
+    table = listing_frame(spark, [listing_row(1, "a"), listing_row(2, "b")])
+    keys = spark.createDataFrame([(2,)], "listing_id long")
+    plan = snapshot.delete_by_key(table, keys)._jdf.queryExecution().executedPlan().toString()
+    if join_path == "broadcast":
+        assert "BroadcastHashJoin" in plan
+    else:
+        assert "BroadcastHashJoin" not in plan

@@ -1,0 +1,55 @@
+import json
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
+from abode.sinks import write_snapshot
+from abode.sources import read_snapshot
+from abode.streaming.file_ingest import IngestConfig, ingest_available, version_path
+from tests.helpers import listing_frame, listing_row
+
+
+def _line(source_id, number, city="Brampton"):
+    return json.dumps(
+        {
+            "source_id": source_id, "street_number": number, "street_name": "Main", "city": city,
+            "age": 8, "sqft": 1700, "finished_basement": True, "number_bedrooms": 3,
+            "list_date": "2023-06-01", "property_type": "townhome",
+        }
+    )
+
+
+def test_ingest_processes_each_file_once(spark, scratch):
+    base = Path(scratch("ingest").replace("file:", ""))
+    landing = base / "landing"
+    landing.mkdir(parents=True)
+    initial = str(base / "initial")
+    write_snapshot(listing_frame(spark, [listing_row(i, f"{i} Main, Brampton") for i in range(1, 51)]), initial)
+    cfg = IngestConfig(
+        landing_dir=str(landing),
+        snapshot_root=str(base / "snapshots"),
+        checkpoint_location=str(base / "stream_ckpt"),
+        initial_snapshot=initial,
+        delete_pct="0.02",
+        update_pct="0.02",
+        max_files_per_trigger=1,
+    )
+    # first file: 20 new addresses plus one already in the table
+    (landing / "batch-0001.json").write_text("\n".join([_line(i, 100 + i) for i in range(20)] + [_line(99, 3)]) + "\n")
+    ingest_available(spark, cfg)
+    v0 = read_snapshot(spark, version_path(cfg.snapshot_root, 0))
+    assert v0.count() == 70 - 1  # 50 + 20 new, then round(70 * 0.02) = 1 deleted
+    assert v0.agg(F.max("listing_id")).first()[0] <= 70
+
+    # nothing new: no further version
+    ingest_available(spark, cfg)
+    assert not Path(version_path(cfg.snapshot_root, 1)).exists()
+
+    # second file arrives: processed as epoch 1 on top of version 0
+    (landing / "batch-0002.json").write_text("\n".join(_line(200 + i, 300 + i) for i in range(10)) + "\n")
+    ingest_available(spark, cfg)
+    v1 = read_snapshot(spark, version_path(cfg.snapshot_root, 1))
+    assert v1.count() == 69 + 10 - 2  # round(79 * 0.02) = 2 deleted
+    new_ids = sorted(r[0] for r in v1.filter(F.col("street_number") >= 300).select("listing_id").collect())
+    assert all(i > 70 for i in new_ids)  # ids continue above the stored mark
+    assert v1.select("address").distinct().count() == v1.count()
