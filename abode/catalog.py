@@ -233,13 +233,13 @@ def queries() -> dict[str, Query]:
         "photoset_bucket": _on_listings(reports.photoset_bucket),
         "address_options": _on_listings(reports.address_options),
         "address_search": _on_listings(reports.address_search, SEARCH_TERM),
-        "similar_listings": _on_listings(reports.similar_listings, SELECTED_ADDRESS),
-        "compare_by_sqft": _on_listings(reports.compare_by_sqft, SELECTED_ADDRESS),
-        "compare_by_age": _on_listings(reports.compare_by_age, SELECTED_ADDRESS),
-        "overlay_by_sqft": _on_listings(reports.overlay_by_sqft, SELECTED_ADDRESS),
-        "overlay_by_age": _on_listings(reports.overlay_by_age, SELECTED_ADDRESS),
-        "price_vs_sqft_peers": _on_listings(reports.price_vs_sqft_peers),
-        "price_vs_age_peers": _on_listings(reports.price_vs_age_peers),
+        "similar_listings": _on_stored(reports.similar_listings, SELECTED_ADDRESS),
+        "compare_by_sqft": _on_stored(reports.compare_by_sqft, SELECTED_ADDRESS),
+        "compare_by_age": _on_stored(reports.compare_by_age, SELECTED_ADDRESS),
+        "overlay_by_sqft": _on_stored(reports.overlay_by_sqft, SELECTED_ADDRESS),
+        "overlay_by_age": _on_stored(reports.overlay_by_age, SELECTED_ADDRESS),
+        "price_vs_sqft_peers": _on_stored(reports.price_vs_sqft_peers),
+        "price_vs_age_peers": _on_stored(reports.price_vs_age_peers),
         "insert_ignore": q_insert_ignore,
         "churn_sample_size": q_churn_sample_size,
         "churn_delete_keys": _on_stored(churn.churn_delete_keys, DELETE_SEED, PCT),

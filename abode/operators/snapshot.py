@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abode.plans.joins import bounded_broadcast
+from abode.plans.joins import bounded_broadcast, fits_broadcast
 from abode.plans.materialize import materialize
 from abode.schemas import LISTING_COLUMNS, LISTINGS, PRICE_TYPE
 
@@ -65,31 +65,39 @@ def assign_ids(
     start_after: int,
     id_col: str = "listing_id",
     num_partitions: int | None = None,
-) -> DataFrame:
+) -> tuple[DataFrame, int]:
     """Number ``rows`` as ``start_after + 1, 2, ...`` in ``order_by`` order.
 
-    Equal to a global ``row_number()`` but without pulling every row into one
+    Equal to a global ``row_number()`` without pulling every row into one
     task: rows are range-partitioned and sorted, materialized (so positions
-    cannot move on a retry), counted per partition, and each row's id is its
-    partition's offset plus its position inside the partition. Only the
-    per-partition counts (one row per partition) are broadcast.
+    cannot move on a retry), and counted per partition. The per-partition
+    counts (one number per partition, so bounded by the partition count, not
+    the data) become a literal offset array; each row's id is its
+    partition's offset plus its position inside the partition, a map-only
+    projection over the materialized rows. Returns the numbered rows and how
+    many there are.
     """
     spark = rows.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_keys(order_by)
     ranged = materialize(rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
-    placed = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
-        "_mid", F.monotonically_increasing_id()
+    counts = dict(
+        ranged.groupBy(F.spark_partition_id().alias("p")).count().select("p", "count").collect()
     )
-    counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return (
-        placed.join(F.broadcast(offsets), "_pid")
-        .withColumn(id_col, (F.lit(int(start_after)) + F.col("_off") + position + F.lit(1)).cast("bigint"))
-        .drop("_pid", "_mid", "_off")
+    parts = max(counts, default=-1) + 1
+    offsets, total = [], 0
+    for p in range(parts):
+        offsets.append(total)
+        total += counts.get(p, 0)
+    if total == 0:
+        return ranged.withColumn(id_col, F.lit(None).cast("bigint")), 0
+    pid = F.spark_partition_id()
+    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
+    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), pid + 1)
+    numbered = ranged.withColumn(
+        id_col, (F.lit(int(start_after)) + offset + position + F.lit(1)).cast("bigint")
     )
+    return numbered, total
 
 
 def high_water_mark(table: DataFrame) -> int:
@@ -97,19 +105,14 @@ def high_water_mark(table: DataFrame) -> int:
     return int(value) if value is not None else 0
 
 
-def insert_ignore(
+def new_listings(
     current: DataFrame,
     batch: DataFrame,
-    id_mark: int | None = None,
+    id_mark: int,
     order_by: Sequence[str] | None = None,
-) -> DataFrame:
-    """Append the batch's new addresses to ``current``; ignore conflicts.
-
-    * duplicates inside the batch: the first row on ``order_by`` wins;
-    * addresses already in ``current``: the batch row is dropped;
-    * null addresses never conflict;
-    * new rows get ids above ``id_mark`` (default: the current largest id;
-      pass the stored mark to avoid reusing ids of deleted rows).
+) -> tuple[DataFrame, int]:
+    """Rows of ``batch`` that :func:`insert_ignore` adds, numbered above
+    ``id_mark``, and their count.
 
     The batch is normally much smaller than the table. When its distinct
     addresses pass the broadcast bound, conflicts are found by a map-only
@@ -119,17 +122,33 @@ def insert_ignore(
     """
     order = list(order_by or default_order(batch))
     unique = materialize(dedup_by_address(batch, order))
-    batch_addresses, small = bounded_broadcast(
-        unique.select("address").filter(F.col("address").isNotNull())
-    )
-    if small:
-        taken = current.select("address").join(batch_addresses, "address", "left_semi")
+    batch_addresses = unique.select("address").filter(F.col("address").isNotNull())
+    if fits_broadcast(batch_addresses.count(), batch_addresses.schema):
+        taken = current.select("address").join(F.broadcast(batch_addresses), "address", "left_semi")
         fresh = unique.join(F.broadcast(taken), "address", "left_anti")
     else:
         fresh = unique.join(current.select("address"), "address", "left_anti")
+    numbered, count = assign_ids(fresh, order, id_mark)
+    return numbered.select(*LISTING_COLUMNS), count
+
+
+def insert_ignore(
+    current: DataFrame,
+    batch: DataFrame,
+    id_mark: int | None = None,
+    order_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Append the batch's new addresses to ``current``; ignore conflicts.
+
+    * duplicates inside the batch: the first row on ``order_by`` wins;
+    * addresses already in ``current``: the batch row is dropped;
+    * null addresses never conflict;
+    * new rows get ids above ``id_mark`` (default: the current largest id;
+      pass the stored mark to avoid reusing ids of deleted rows).
+    """
     mark = high_water_mark(current) if id_mark is None else int(id_mark)
-    new_rows = assign_ids(fresh, order, mark)
-    return current.select(*LISTING_COLUMNS).unionByName(new_rows.select(*LISTING_COLUMNS))
+    fresh, _ = new_listings(current, batch, mark, order_by)
+    return current.select(*LISTING_COLUMNS).unionByName(fresh)
 
 
 def delete_by_key(table: DataFrame, keys: DataFrame) -> DataFrame:

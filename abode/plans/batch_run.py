@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from abode.operators.churn import apply_churn_delete, apply_churn_update, draw_pct
 from abode.operators.enrich import enrich
-from abode.operators.snapshot import high_water_mark, insert_ignore
+from abode.operators.snapshot import high_water_mark, new_listings
+from abode.schemas import LISTING_COLUMNS
 from abode.sinks import write_snapshot
 from abode.sources.files import read_raw_jsonl, read_snapshot
 
@@ -37,8 +38,9 @@ def run_batch(
     id mark: the largest id issued, even if churn deleted that row again."""
     enriched = enrich(raw_batch)
     mark = high_water_mark(current) if id_mark is None else int(id_mark)
-    inserted = insert_ignore(current, enriched, id_mark=mark)
-    new_mark = max(mark, high_water_mark(inserted))
+    fresh, added = new_listings(current, enriched, mark)
+    inserted = current.select(*LISTING_COLUMNS).unionByName(fresh)
+    new_mark = mark + added
     delete_pct = config.delete_pct if config.delete_pct is not None else draw_pct(config.delete_seed)
     update_pct = config.update_pct if config.update_pct is not None else draw_pct(config.update_seed)
     after_delete = apply_churn_delete(inserted, config.delete_seed, delete_pct)

@@ -33,6 +33,11 @@ def row_width(schema: T.StructType) -> int:
     return width
 
 
+def fits_broadcast(rows: int, schema: T.StructType, max_bytes: int | None = None) -> bool:
+    limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    return rows * row_width(schema) <= limit
+
+
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """Materialize ``df``, count it, and broadcast it only when small enough.
 
@@ -41,7 +46,6 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> tuple[Data
     was applied. Above the bound the frame is returned unhinted, so the join
     falls back to a shuffle join.
     """
-    limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
     df = materialize(df)
-    small = df.count() * row_width(df.schema) <= limit
+    small = fits_broadcast(df.count(), df.schema, max_bytes)
     return (F.broadcast(df) if small else df), small

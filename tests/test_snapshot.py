@@ -71,7 +71,8 @@ def test_insert_after_deleting_largest_id_uses_stored_mark(spark, join_path):
 
 def test_assign_ids_matches_global_row_number(spark):
     df = spark.range(0, 5000, 7).select((F.col("id") * 13 % 4999).alias("source_id"))
-    ids = snapshot.assign_ids(df, ["source_id"], 100, num_partitions=5)
+    ids, total = snapshot.assign_ids(df, ["source_id"], 100, num_partitions=5)
+    assert total == df.count()
     got = sorted((r["source_id"], r["listing_id"]) for r in ids.collect())
     expected = [(s, 101 + i) for i, s in enumerate(sorted(r[0] for r in df.collect()))]
     assert got == expected
