@@ -23,6 +23,18 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (pass as ``extra_conf``). Shuffle
+# partitions are set high and left to AQE to coalesce toward the advisory
+# size; skewed join partitions are split; files are read in 256 MB splits.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def build_session(
     master: str = "local[*]",
     app_name: str = "abode",

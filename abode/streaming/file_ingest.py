@@ -69,7 +69,7 @@ def process_batch(cfg: IngestConfig):
         result, new_mark = run_batch(current, batch, mark, run_cfg)
         out = version_path(cfg.snapshot_root, epoch)
         # overwrite only this epoch's own version: a retried epoch is idempotent
-        result.write.mode("overwrite").parquet(out)
+        result.sortWithinPartitions("address").write.mode("overwrite").parquet(out)
         spark.range(1).select(F.lit(new_mark).cast("bigint").alias("id_mark")).write.mode(
             "overwrite"
         ).parquet(f"{out}/{MARK_DIR}")
