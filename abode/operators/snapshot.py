@@ -17,6 +17,8 @@ from abode.plans.materialize import materialize
 from abode.schemas import LISTING_COLUMNS, LISTINGS, PRICE_TYPE
 
 _LISTING_TYPES = {f.name: f.dataType for f in LISTINGS.fields}
+# Rows per range partition when numbering new rows.
+ROWS_PER_ID_PARTITION = 1_000_000
 
 
 def default_order(batch: DataFrame) -> list[str]:
@@ -122,13 +124,17 @@ def new_listings(
     """
     order = list(order_by or default_order(batch))
     unique = materialize(dedup_by_address(batch, order))
+    n_unique = unique.count()
     batch_addresses = unique.select("address").filter(F.col("address").isNotNull())
-    if fits_broadcast(batch_addresses.count(), batch_addresses.schema):
+    if fits_broadcast(n_unique, batch_addresses.schema):
         taken = current.select("address").join(F.broadcast(batch_addresses), "address", "left_semi")
         fresh = unique.join(F.broadcast(taken), "address", "left_anti")
     else:
         fresh = unique.join(current.select("address"), "address", "left_anti")
-    numbered, count = assign_ids(fresh, order, id_mark)
+    # size the range partitioning to the batch, not to the cluster default
+    cap = int(unique.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(cap, -(-n_unique // ROWS_PER_ID_PARTITION)))
+    numbered, count = assign_ids(fresh, order, id_mark, num_partitions=parts)
     return numbered.select(*LISTING_COLUMNS), count
 
 
