@@ -64,7 +64,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     under the system temp dir. On a cluster without the setting this raises:
     a machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
