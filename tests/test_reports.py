@@ -87,3 +87,13 @@ def test_snapshot_scan_prunes_columns_and_pushes_filters(spark, scratch):
     assert "EqualTo(address,1 Main, Brampton)" in lookup_plan
     city_plan = _plan(snap.filter("city = 'Mississauga'"))
     assert "PartitionFilters: [isnotnull(city" in city_plan
+
+
+def test_compare_prunes_city_partitions(spark, scratch):
+    path = scratch("snap_city")
+    write_snapshot(_table(spark), path, partition_by_city=True)
+    df = reports.compare_by_sqft(read_snapshot(spark, path), "2 Main, Brampton")
+    df.collect()
+    plan = _plan(df)
+    assert "dynamicpruningexpression(city" in plan  # only the selected city's folder is read
+    assert "EqualTo(address,2 Main, Brampton)" in plan
