@@ -109,6 +109,34 @@ def q_sql_listing_lookup(spark, sf_dir):
     )
 
 
+def _sql_compare(bin_col: str, order_sql: str):
+    def run(spark, sf_dir):
+        return spark.sql(
+            f"""
+            SELECT /*+ BROADCAST(s) */ l.{bin_col},
+                   CAST(sum(l.listing_price) AS DOUBLE) / count(l.listing_price) AS avg_listing_price
+            FROM {{listings}} l
+            JOIN (SELECT city, property_type FROM {{listings}} WHERE address = :address LIMIT 1) s
+              ON l.city = s.city AND l.property_type = s.property_type
+            GROUP BY l.{bin_col}
+            ORDER BY {order_sql}
+            """,
+            args={"address": SELECTED_ADDRESS},
+            listings=stored_listings(spark, sf_dir),
+        )
+
+    return run
+
+
+AGE_ORDER_SQL = (
+    "CASE "
+    + " ".join(f"WHEN age_range = '{label}' THEN {i}" for i, (_, label) in enumerate(AF.AGE_BINS))
+    + " END ASC NULLS LAST"
+)
+q_sql_compare_by_sqft = _sql_compare("sqft_range", "sqft_range")
+q_sql_compare_by_age = _sql_compare("age_range", AGE_ORDER_SQL)
+
+
 # --- enrichment ----------------------------------------------------------------
 
 
@@ -220,6 +248,8 @@ def queries() -> dict[str, Query]:
         "scan_snapshot": q_scan_snapshot,
         "sink_parquet_roundtrip": q_sink_parquet_roundtrip,
         "sql_listing_lookup": q_sql_listing_lookup,
+        "sql_compare_by_sqft": q_sql_compare_by_sqft,
+        "sql_compare_by_age": q_sql_compare_by_age,
         "enrich_listings": q_enrich_listings,
         "derive_address": q_derive_address,
         "derive_listing_price": q_derive_listing_price,

@@ -258,6 +258,8 @@ def oracle_sql() -> dict[str, str]:
         + _segment_cte()
         + f"\nSELECT {', '.join('l.' + c for c in LISTING_COLUMNS)} FROM listings l "
         "JOIN sel s ON l.city = s.city AND l.property_type = s.property_type",
+        "sql_compare_by_sqft": _compare("sqft_range"),
+        "sql_compare_by_age": _compare("age_range"),
         "compare_by_sqft": _compare("sqft_range"),
         "compare_by_age": _compare("age_range"),
         "overlay_by_sqft": _overlay("sqft_range"),

@@ -8,14 +8,21 @@ from pyspark.sql import types as T
 from abode.schemas import LISTINGS, RAW_JSON
 
 
-def read_raw_jsonl(spark: SparkSession, path: str, schema: T.StructType = RAW_JSON) -> DataFrame:
+def read_raw_jsonl(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_JSON, mode: str = "FAILFAST"
+) -> DataFrame:
     """Read a raw listing batch with a fixed schema.
 
-    No inference job runs over the input, and ``FAILFAST`` turns a malformed
-    line (or a value of the wrong type) into a failed read instead of a
-    silently all-null row.
+    No inference job runs over the input. ``FAILFAST`` (default) turns a
+    malformed line (or a value of the wrong type) into a failed read instead
+    of a silently all-null row; ``PERMISSIVE`` keeps such lines as null rows
+    with the raw text in ``_corrupt_record``, as a schema-inferring read does.
     """
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    reader = spark.read.option("mode", mode)
+    if mode.upper() == "PERMISSIVE":
+        schema = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record")
+    return reader.schema(schema).json(path)
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType = LISTINGS) -> DataFrame:

@@ -97,3 +97,9 @@ def test_compare_prunes_city_partitions(spark, scratch):
     plan = _plan(df)
     assert "dynamicpruningexpression(city" in plan  # only the selected city's folder is read
     assert "EqualTo(address,2 Main, Brampton)" in plan
+
+
+def test_sql_compare_by_age_order(spark):
+    df = catalog.queries()["sql_compare_by_age"](spark, SF_SMALL)
+    labels = [r[0] for r in df.collect()]
+    assert labels[-1] == "26+" and labels == sorted(labels, key=lambda x: (x == "26+", int(x.split("-")[0].rstrip("+"))))

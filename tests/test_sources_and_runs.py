@@ -73,3 +73,11 @@ def test_write_run_end_to_end(spark, scratch):
     snap2 = read_snapshot(spark, f"{base}/snap2")
     assert snap2.count() == 150  # round(155 * 0.03) = 5 more deleted, nothing inserted
     assert snap2.filter(F.col("listing_id") > 160).count() == 0
+
+
+def test_json_permissive_keeps_bad_line(spark, scratch):
+    path = _write_lines(scratch("raw_perm"), [json.dumps(GOOD), "{not json"])
+    rows = read_raw_jsonl(spark, path, mode="PERMISSIVE").collect()
+    assert len(rows) == 2
+    bad = [r for r in rows if r["_corrupt_record"] is not None]
+    assert len(bad) == 1 and bad[0]["street_number"] is None
