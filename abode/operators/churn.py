@@ -15,6 +15,8 @@ import random
 from dataclasses import dataclass
 from decimal import ROUND_HALF_EVEN, Decimal
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,16 +71,19 @@ class SampleCut:
         return F.coalesce(pred, F.lit(False))
 
 
-def _histogram(scope: DataFrame, prefix_len: int) -> list[tuple[str, int]]:
+def _histogram(scope: DataFrame, prefix_len: int) -> tuple[list[str], np.ndarray]:
     """Counts per hash prefix, in prefix order.
 
     The result has at most ``16 ** PREFIX_STEP`` rows whatever the table
     size (the prefix space bounds it), so it is returned to the driver like
-    any small summary. It is computed with map-side partial aggregation.
+    any small summary, as one Arrow batch. It is computed with map-side
+    partial aggregation.
     """
     bucket = F.substring("_h", 1, prefix_len)
-    rows = scope.groupBy(bucket.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect()
-    return sorted((r["_p"], int(r["_n"])) for r in rows)
+    table = scope.groupBy(bucket.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).toArrow()
+    order = pc.sort_indices(table, sort_keys=[("_p", "ascending")])
+    table = table.take(order)
+    return table.column("_p").to_pylist(), table.column("_n").to_numpy().astype(np.int64)
 
 
 def _scope(table: DataFrame, seed: int, key: str) -> DataFrame:
@@ -91,14 +96,12 @@ def _resolve(scope: DataFrame, hist, prefix_len: int, k: int, seed: int, key: st
     """Walk the histograms down to the k-th smallest (hash, key) pair."""
     remaining = k
     while True:
-        before = 0
-        for prefix, count in hist:
-            if before + count >= remaining:
-                break
-            before += count
-        remaining -= before
-        scope = scope.filter(F.substring("_h", 1, prefix_len) == F.lit(prefix))
-        if count <= BOUNDARY_MAX_ROWS or prefix_len >= 32:
+        prefixes, counts = hist
+        running = np.cumsum(counts)
+        i = int(np.searchsorted(running, remaining))  # first bucket reaching k
+        remaining -= int(running[i] - counts[i])
+        scope = scope.filter(F.substring("_h", 1, prefix_len) == F.lit(prefixes[i]))
+        if counts[i] <= BOUNDARY_MAX_ROWS or prefix_len >= 32:
             last = (
                 scope.orderBy("_h", "_k")
                 .limit(int(remaining))
@@ -111,7 +114,7 @@ def _resolve(scope: DataFrame, hist, prefix_len: int, k: int, seed: int, key: st
 
 
 def _cut(scope: DataFrame, hist, k: int, seed: int, key: str) -> SampleCut:
-    n = sum(c for _, c in hist)
+    n = int(hist[1].sum())
     if k <= 0:
         return SampleCut(None, None, seed, key)
     if k >= n:  # the sample is the whole table
@@ -141,7 +144,7 @@ def sample_cut(table: DataFrame, seed: int, pct, key: str = "listing_id") -> Sam
     so counting and the first level share one pass over the keys."""
     scope = _scope(table, seed, key)
     hist = _histogram(scope, PREFIX_STEP)
-    return _cut(scope, hist, sample_size(sum(c for _, c in hist), pct), seed, key)
+    return _cut(scope, hist, sample_size(int(hist[1].sum()), pct), seed, key)
 
 
 def churn_delete_keys(table: DataFrame, seed: int, pct) -> DataFrame:
