@@ -6,20 +6,27 @@ from pyspark.sql import DataFrame
 
 
 def write_snapshot(
-    df: DataFrame, path: str, partition_by_city: bool = False, sort_by_address: bool = True
+    df: DataFrame,
+    path: str,
+    partition_by_city: bool = False,
+    sort_by_address: bool = True,
+    mode: str = "errorifexists",
 ) -> None:
     """Write a listings snapshot (or an enriched archive) to a new path.
 
-    Mode is ``errorifexists``: every run writes a fresh path and never
-    overwrites the snapshot it read from. Partitioning by city lets the
-    comparison queries (which always filter on one city) prune folders.
+    Default mode is ``errorifexists``: every run writes a fresh path and
+    never overwrites the snapshot it read from. A scheduler retrying a failed
+    run may pass ``mode="overwrite"`` for that run's own output path (never
+    the input path: Spark cannot overwrite what it is reading). Partitioning
+    by city lets the comparison queries (which filter on one city) prune
+    folders.
     Sorting each task's rows by address (no shuffle) gives every Parquet row
     group a narrow address range, so point lookups skip most row groups.
     """
     keys = (["city"] if partition_by_city else []) + (["address"] if sort_by_address else [])
     if keys:
         df = df.sortWithinPartitions(*keys)
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode(mode)
     if partition_by_city:
         writer = writer.partitionBy("city")
     writer.parquet(path)
