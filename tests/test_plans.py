@@ -1,0 +1,68 @@
+"""Plan shape checks: the changes that touch every row of the table must not
+shuffle it; broadcasts only appear behind their bounds."""
+
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from abode import catalog
+from abode.operators import churn, snapshot
+from abode.plans.materialize import materialize
+from tests.conftest import SF_SMALL
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _stored(spark):
+    return materialize(catalog.listings(spark, SF_SMALL))
+
+
+def test_churn_delete_and_update_are_map_only(spark):
+    table = _stored(spark)
+    for df in (churn.apply_churn_delete(table, 88, "0.02"), churn.apply_churn_update(table, 89, "0.02")):
+        plan = _plan(df)
+        assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_small_upsert_does_not_shuffle_the_table(spark):
+    table = _stored(spark)
+    delta = spark.createDataFrame([(1, Decimal("1.00"))], "listing_id long, listing_price decimal(12,2)")
+    plan = _plan(snapshot.upsert_price(table, delta))
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert "BroadcastHashJoin" in plan
+
+
+def test_insert_result_is_a_union_of_scans(spark):
+    current, batch = catalog.current_and_batch(spark, SF_SMALL)
+    plan = _plan(snapshot.insert_ignore(current, batch))
+    # conflicts and numbering were resolved before; the result only reads
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_enrich_is_one_stage(spark):
+    plan = _plan(catalog.enriched(spark, SF_SMALL).select("address", "listing_price"))
+    assert "Exchange hashpartitioning" not in plan
+    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_peers_join_broadcasts_aggregate_not_table(spark):
+    plan = _plan(catalog.queries()["price_vs_sqft_peers"](spark, SF_SMALL))
+    assert "BroadcastHashJoin" in plan
+    # the listings side is scanned in place: no exchange feeds the join's probe side
+    assert plan.count("Exchange hashpartitioning") == 0
+
+
+def test_sample_keys_match_full_sort(spark):
+    table = _stored(spark)
+    k = churn.sample_size(table.count(), "0.02")
+    ranked = (
+        table.select("listing_id", F.md5(F.concat(F.lit("88:"), F.col("listing_id").cast("string"))).alias("h"))
+        .orderBy("h", "listing_id")
+        .limit(k)
+    )
+    want = sorted(r[0] for r in ranked.collect())
+    got = sorted(r[0] for r in churn.churn_delete_keys(table, 88, "0.02").collect())
+    assert got == want and len(got) == k
