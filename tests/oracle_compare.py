@@ -32,9 +32,9 @@ def _norm(v):
     if v is None:
         return "∅"
     if isinstance(v, float):
-        return repr(round(v, 6))
+        return repr(v)
     if isinstance(v, decimal.Decimal):
-        return format(v.normalize(), "f") if v == v else "nan"
+        return str(v)
     if isinstance(v, dt.datetime):
         return v.isoformat()
     if isinstance(v, dt.date):
