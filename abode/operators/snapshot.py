@@ -118,19 +118,23 @@ def new_listings(
 
     The batch is normally much smaller than the table. When its distinct
     addresses pass the broadcast bound, conflicts are found by a map-only
-    semi join of the table's address column against the broadcast batch
-    addresses, so the table is never shuffled; above the bound it is a
-    shuffled anti join on address.
+    semi join of the table's (city, address) columns against the broadcast
+    batch keys, so the table is never shuffled; above the bound it is a
+    shuffled anti join.
     """
     order = list(order_by or default_order(batch))
     unique = materialize(dedup_by_address(batch, order))
     n_unique = unique.count()
-    batch_addresses = unique.select("address").filter(F.col("address").isNotNull())
-    if fits_broadcast(n_unique, batch_addresses.schema):
-        taken = current.select("address").join(F.broadcast(batch_addresses), "address", "left_semi")
-        fresh = unique.join(F.broadcast(taken), "address", "left_anti")
+    # An address ends with its city, so matching on (city, address) is the
+    # same as matching on address; with a city-partitioned snapshot the city
+    # key lets dynamic partition pruning skip cities the batch does not touch.
+    keys = ["city", "address"]
+    batch_keys = unique.select(*keys).filter(F.col("address").isNotNull())
+    if fits_broadcast(n_unique, batch_keys.schema):
+        taken = current.select(*keys).join(F.broadcast(batch_keys), keys, "left_semi")
+        fresh = unique.join(F.broadcast(taken), keys, "left_anti")
     else:
-        fresh = unique.join(current.select("address"), "address", "left_anti")
+        fresh = unique.join(current.select(*keys), keys, "left_anti")
     # size the range partitioning to the batch, not to the cluster default
     cap = int(unique.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(cap, -(-n_unique // ROWS_PER_ID_PARTITION)))

@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abode.operators.churn import apply_churn_delete, apply_churn_update, draw_pct
+from abode import functions as AF
+from abode.operators.churn import draw_pct, sample_cut
 from abode.operators.enrich import enrich
 from abode.operators.snapshot import high_water_mark, new_listings
 from abode.schemas import LISTING_COLUMNS
@@ -31,20 +32,68 @@ class RunConfig:
     update_pct: object = None
 
 
-def run_batch(
+@dataclass(frozen=True)
+class RunChanges:
+    """What one run changes, as DataFrames much smaller than the table.
+
+    Applied in this order they turn the current table into the new one:
+    insert ``new_rows``, delete ``deleted_keys`` (which may include rows
+    inserted by the same run), then set ``price_delta``. A table format with
+    ``MERGE`` can apply them in place instead of rewriting the snapshot.
+    """
+
+    new_rows: DataFrame
+    deleted_keys: DataFrame
+    price_delta: DataFrame
+    new_mark: int
+
+
+def plan_run(
     current: DataFrame, raw_batch: DataFrame, id_mark: int | None, config: RunConfig
-) -> tuple[DataFrame, int]:
-    """New snapshot (lazy) from the current one and a raw batch, and the new
-    id mark: the largest id issued, even if churn deleted that row again."""
+) -> tuple[DataFrame, RunChanges]:
+    """New snapshot (lazy) and the run's change sets.
+
+    The samples are drawn with :func:`abode.operators.churn.sample_cut`, so
+    both the snapshot and the change sets are plain filters and projections
+    of the same inputs: no join against the table is needed for either.
+    """
     enriched = enrich(raw_batch)
     mark = high_water_mark(current) if id_mark is None else int(id_mark)
     fresh, added = new_listings(current, enriched, mark)
     inserted = current.select(*LISTING_COLUMNS).unionByName(fresh)
-    new_mark = mark + added
     delete_pct = config.delete_pct if config.delete_pct is not None else draw_pct(config.delete_seed)
     update_pct = config.update_pct if config.update_pct is not None else draw_pct(config.update_seed)
-    after_delete = apply_churn_delete(inserted, config.delete_seed, delete_pct)
-    return apply_churn_update(after_delete, config.update_seed, update_pct), new_mark
+
+    deleted = sample_cut(inserted, config.delete_seed, delete_pct).predicate()
+    after_delete = inserted.filter(~deleted)
+    updated = sample_cut(after_delete, config.update_seed, update_pct).predicate()
+    new_price = AF.repriced("listing_price", AF.reprice_factor("listing_id", config.update_seed))
+    snapshot = after_delete.withColumn(
+        "listing_price", F.when(updated, new_price).otherwise(F.col("listing_price"))
+    )
+    changes = RunChanges(
+        new_rows=fresh,
+        deleted_keys=inserted.filter(deleted).select("listing_id"),
+        price_delta=after_delete.filter(updated).select("listing_id", new_price.alias("listing_price")),
+        new_mark=mark + added,
+    )
+    return snapshot, changes
+
+
+def run_batch(
+    current: DataFrame, raw_batch: DataFrame, id_mark: int | None, config: RunConfig
+) -> tuple[DataFrame, int]:
+    """New snapshot (lazy) from the current one and a raw batch, and the new
+    id mark: the largest id issued, even if churn deleted that row again."""
+    snapshot, changes = plan_run(current, raw_batch, id_mark, config)
+    return snapshot, changes.new_mark
+
+
+def run_changes(
+    current: DataFrame, raw_batch: DataFrame, id_mark: int | None, config: RunConfig
+) -> RunChanges:
+    """Only the change sets of a run (see :class:`RunChanges`)."""
+    return plan_run(current, raw_batch, id_mark, config)[1]
 
 
 def read_mark(spark: SparkSession, snapshot_path: str) -> int | None:
