@@ -117,3 +117,13 @@ def test_bound_decides_join_strategy(spark, join_path):
         assert "BroadcastHashJoin" in plan
     else:
         assert "BroadcastHashJoin" not in plan
+
+
+def test_multi_partition_numbering_inside_union(spark, monkeypatch):
+    """Ids stay a global row_number when the new rows span several range
+    partitions and are read back through the union with the table."""
+    from tests.oracle_compare import compare
+
+    monkeypatch.setattr(snapshot, "ROWS_PER_ID_PARTITION", 100)
+    res = compare(spark, "/root/testdata/sf0.001", ["insert_ignore", "full_batch_run"])
+    assert all(v["match"] for v in res.values()), res
