@@ -262,6 +262,7 @@ def queries() -> dict[str, Query]:
         "listing_count": _on_listings(reports.listing_count),
         "listing_lookup": _on_listings(reports.listing_lookup, SELECTED_ADDRESS),
         "listing_detail": _on_listings(reports.listing_detail, AS_OF),
+        "listing_card": _on_listings(reports.listing_card, SELECTED_ADDRESS, AS_OF),
         "days_on_market": _on_listings(reports.days_on_market, AS_OF),
         "format_price": _on_listings(reports.format_price),
         "photoset_bucket": _on_listings(reports.photoset_bucket),

@@ -55,6 +55,24 @@ def listing_detail(
     )
 
 
+CARD_FIELDS = [
+    "address",
+    "number_bedrooms",
+    "property_type",
+    "price_text",
+    "sqft",
+    "age",
+    "days_on_market",
+    "finished_basement_text",
+]
+
+
+def listing_card(listings: DataFrame, address: str, as_of: dt.date | str | None = None) -> DataFrame:
+    """The dashboard's card for one address: bedrooms, type, price text,
+    size, age, days on market and basement text (empty if unknown)."""
+    return listing_detail(listings, as_of, address).select(*CARD_FIELDS)
+
+
 def days_on_market(listings: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
     return listings.select("listing_id", AF.days_on_market("list_date", as_of).alias("days_on_market"))
 

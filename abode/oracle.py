@@ -247,6 +247,9 @@ def oracle_sql() -> dict[str, str]:
         "listing_lookup": f"{BASE}\nSELECT {LCOLS} FROM listings WHERE address = {_q(SELECTED_ADDRESS)}",
         "listing_detail": f"{BASE}\nSELECT {LCOLS}, {DAYS_SQL} AS days_on_market, "
         f"{PRICE_TEXT_SQL} AS price_text, {BOOL_TEXT_SQL} AS finished_basement_text FROM listings",
+        "listing_card": f"{BASE}\nSELECT address, number_bedrooms, property_type, {PRICE_TEXT_SQL} AS price_text, "
+        f"sqft, age, {DAYS_SQL} AS days_on_market, {BOOL_TEXT_SQL} AS finished_basement_text "
+        f"FROM listings WHERE address = {_q(SELECTED_ADDRESS)}",
         "days_on_market": f"{BASE}\nSELECT listing_id, {DAYS_SQL} AS days_on_market FROM listings",
         "format_price": f"{BASE}\nSELECT listing_id, {PRICE_TEXT_SQL} AS price_text FROM listings",
         "photoset_bucket": f"{BASE}\nSELECT listing_id, address, "
