@@ -132,17 +132,19 @@ def compare_by_age(listings: DataFrame, address: str) -> DataFrame:
 
 
 def _overlay(listings: DataFrame, address: str, bin_col: str) -> DataFrame:
+    # one broadcast of the looked-up row carries both the segment keys and
+    # the selected price through the peer join
     seg = _selected_segment(listings, address)
-    averages = (
-        listings.join(seg.select(*SEGMENT), SEGMENT, "left_semi")
-        .groupBy(*SEGMENT, bin_col)
+    return (
+        listings.join(seg, SEGMENT, "inner")
+        .groupBy(bin_col, "selected_price")
         .agg(average_price().alias("avg_listing_price"))
-    )
-    return averages.join(seg, SEGMENT, "inner").select(
-        bin_col,
-        "avg_listing_price",
-        "selected_price",
-        (F.col("selected_price").cast("double") - F.col("avg_listing_price")).alias("price_minus_avg"),
+        .select(
+            bin_col,
+            "avg_listing_price",
+            "selected_price",
+            (F.col("selected_price").cast("double") - F.col("avg_listing_price")).alias("price_minus_avg"),
+        )
     )
 
 
