@@ -5,7 +5,6 @@ from decimal import Decimal
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from abode import functions as AF
 from abode.operators import churn
@@ -83,4 +82,5 @@ def test_empty_sample(spark):
     assert churn.apply_churn_delete(table, 88, "0.03").count() == 16
     assert churn.churn_delete_keys(table, 88, "0.03").count() == 0
     assert table.filter(churn.find_cut(table, 1, 0).predicate()).count() == 0
-    assert table.filter(F.lit(True)).count() == 16
+    # k >= n takes everything
+    assert table.filter(churn.find_cut(table, 1, 99).predicate()).count() == 16
