@@ -22,10 +22,12 @@ ROWS_PER_ID_PARTITION = 1_000_000
 
 
 def default_order(batch: DataFrame) -> list[str]:
-    """Tie-break that decides which duplicate of an address wins."""
-    if "source_id" in batch.columns:
-        return ["source_id"]
-    return [c for c in batch.columns if c != "address"]
+    """Tie-break that decides which duplicate of an address wins and in
+    which order new rows are numbered: ``source_id`` first when the batch
+    has one, then every other column, so rows without a source id (plain
+    generator output) still have a total order."""
+    rest = [c for c in batch.columns if c not in ("source_id", "address")]
+    return (["source_id"] if "source_id" in batch.columns else []) + rest
 
 
 def dedup_by_address(batch: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:

@@ -100,3 +100,18 @@ def test_change_sets_rebuild_the_snapshot(spark):
     n_ins = current.count() + ch.new_rows.count()
     assert ch.deleted_keys.count() == round(n_ins * 0.02)
     assert ch.new_mark == current.agg(F.max("listing_id")).first()[0] + ch.new_rows.count()
+
+
+def test_json_batch_without_source_id_has_total_order(spark, scratch):
+    from abode.operators import snapshot as S
+
+    rows = [{**GOOD, "age": a} for a in (30.0, 7.0, 12.0)] + [{**GOOD, "street_number": 99}]
+    path = _write_lines(scratch("raw_noid"), [json.dumps(r) for r in rows])
+    batch = enrich(read_raw_jsonl(spark, path))
+    current = listing_frame(spark, [listing_row(5, "1 Main, Brampton")])
+    out = S.insert_ignore(current, batch)
+    got = {r["address"]: (r["listing_id"], r["age"]) for r in out.collect()}
+    # duplicates of 12 Main: the row that sorts first (age 7) wins; ids follow
+    # the same order (12 Main before 99 Main)
+    assert got["12 Main, Brampton"] == (6, 7)
+    assert got["99 Main, Brampton"] == (7, 5)
