@@ -53,3 +53,20 @@ def test_ingest_processes_each_file_once(spark, scratch):
     new_ids = sorted(r[0] for r in v1.filter(F.col("street_number") >= 300).select("listing_id").collect())
     assert all(i > 70 for i in new_ids)  # ids continue above the stored mark
     assert v1.select("address").distinct().count() == v1.count()
+
+
+def test_ingest_from_empty_start(spark, scratch):
+    base = Path(scratch("ingest0").replace("file:", ""))
+    landing = base / "landing"
+    landing.mkdir(parents=True)
+    (landing / "b1.json").write_text("\n".join(_line(i, 10 + i) for i in range(5)) + "\n")
+    cfg = IngestConfig(
+        landing_dir=str(landing),
+        snapshot_root=str(base / "snapshots"),
+        checkpoint_location=str(base / "ckpt"),
+        delete_pct="0.02",
+        update_pct="0.02",
+    )
+    ingest_available(spark, cfg)
+    v0 = read_snapshot(spark, version_path(cfg.snapshot_root, 0))
+    assert sorted(r[0] for r in v0.select("listing_id").collect()) == [1, 2, 3, 4, 5]
