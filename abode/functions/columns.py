@@ -56,8 +56,11 @@ def price_per_sqft(property_type="property_type") -> Column:
 
 
 def listing_price(sqft="sqft", property_type="property_type") -> Column:
-    """Size times rate, computed on the uncast size, stored as decimal(12,2)."""
-    return (_col(sqft) * price_per_sqft(property_type)).cast(PRICE_TYPE)
+    """Size times rate, computed on the uncast size, stored as decimal(12,2).
+
+    The rate is widened to bigint so an integer size cannot overflow 32 bits.
+    """
+    return (_col(sqft) * price_per_sqft(property_type).cast("bigint")).cast(PRICE_TYPE)
 
 
 def _bins(value: Column, bins: list[tuple[int, str]], last: str) -> Column:
