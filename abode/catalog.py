@@ -26,7 +26,7 @@ from abode.params import (
 )
 from abode.plans.batch_run import RunConfig, run_batch
 from abode.plans.materialize import materialize
-from abode.schemas import ENRICHED, LISTING_COLUMNS, LISTINGS, PRICE_TYPE, RAW_JSON
+from abode.schemas import ENRICHED, LISTING_COLUMNS, PRICE_TYPE, RAW_JSON
 from abode.session import scratch_path
 from abode.sinks import write_raw_jsonl, write_snapshot
 from abode.sources import raw_listings, read_raw_jsonl, read_snapshot
@@ -288,4 +288,4 @@ def queries() -> dict[str, Query]:
     }
 
 
-__all__ = ["queries", "listings", "enriched", "stored_listings", "LISTINGS"]
+__all__ = ["queries", "listings", "enriched", "stored_listings"]

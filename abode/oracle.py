@@ -41,11 +41,6 @@ ADDRESS_SQL = "CAST(street_number AS STRING) || ' ' || street_name || ', ' || ci
 PRICE_SQL = f"CAST(sqft * {RATE_SQL} AS DECIMAL(12,2))"
 SQFT_RANGE_SQL = _bins_sql("sqft", AF.SQFT_BINS, AF.SQFT_LAST)
 AGE_RANGE_SQL = _bins_sql("age", AF.AGE_BINS, AF.AGE_LAST)
-AGE_ORDINAL_SQL = (
-    "CASE "
-    + " ".join(f"WHEN age_range = {_q(label)} THEN {i}" for i, (_, label) in enumerate(AF.AGE_BINS))
-    + " END"
-)
 AVG_SQL = "CAST(sum(listing_price) AS DOUBLE) / count(listing_price)"
 RAW_COLS = (
     "source_id, street_number, street_name, city, age, sqft, finished_basement, "
