@@ -115,3 +115,21 @@ def test_json_batch_without_source_id_has_total_order(spark, scratch):
     # the same order (12 Main before 99 Main)
     assert got["12 Main, Brampton"] == (6, 7)
     assert got["99 Main, Brampton"] == (7, 5)
+
+
+def test_write_run_city_partitioned(spark, scratch):
+    base = scratch("run_city")
+    snap0 = f"{base}/snap0"
+    rows = [listing_row(i, f"{i} Main, Brampton", price=f"{300000 + i}.00") for i in range(1, 41)]
+    write_snapshot(listing_frame(spark, rows), snap0, partition_by_city=True)
+    lines = [json.dumps({**GOOD, "street_number": 500 + i, "source_id": i, "city": c})
+             for i, c in enumerate(["Brampton", "Mississauga", "Caledon"] * 4)]
+    batch = _write_lines(f"{base}/batch", lines)
+    cfg = RunConfig(delete_seed=1, update_seed=2, delete_pct="0.02", update_pct="0.02")
+    mark = write_run(spark, snap0, batch, f"{base}/snap1", cfg, partition_by_city=True)
+    out = read_snapshot(spark, f"{base}/snap1")
+    assert mark == 52 and read_mark(spark, f"{base}/snap1") == 52
+    assert out.count() == 52 - 1  # round(52 * 0.02) = 1 deleted
+    assert {r[0] for r in out.select("city").distinct().collect()} == {"Brampton", "Mississauga", "Caledon"}
+    with pytest.raises(ValueError):
+        write_run(spark, f"{base}/snap1", batch, f"{base}/snap1", cfg)
