@@ -10,7 +10,7 @@ from abode.schemas import LISTINGS, RAW
 D = dt.date(2023, 5, 1)
 
 
-def raw_row(source_id, number=1, street="Main", city="Brampton", age=10, sqft=1600,
+def raw_row(source_id, number=1, street="Main", city="Springfield", age=10, sqft=1600,
             basement=True, bedrooms=3, list_date=D, ptype="townhome"):
     return (source_id, number, street, city, age, sqft, basement, bedrooms, list_date, ptype)
 
@@ -19,7 +19,7 @@ def raw_frame(spark, rows):
     return spark.createDataFrame(rows, RAW)
 
 
-def listing_row(listing_id, address, price="500000.00", city="Brampton", ptype="townhome",
+def listing_row(listing_id, address, price="500000.00", city="Springfield", ptype="townhome",
                 sqft=1600, age=10, sqft_range="1500-1999", age_range="6-10"):
     return (listing_id, address, age, city, True, D, 3, ptype, sqft, "Main", 1,
             Decimal(price), sqft_range, age_range)

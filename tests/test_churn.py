@@ -60,7 +60,7 @@ def test_cut_multi_level_refinement(spark, monkeypatch):
 
 
 def test_delete_and_reprice_touch_only_sample(spark):
-    rows = [listing_row(i, f"{i} Main, Brampton", price=f"{100000 + i}.00") for i in range(1, 401)]
+    rows = [listing_row(i, f"{i} Main, Springfield", price=f"{100000 + i}.00") for i in range(1, 401)]
     table = listing_frame(spark, rows)
     keys = {r[0] for r in churn.churn_delete_keys(table, 88, "0.03").collect()}
     assert len(keys) == 12

@@ -19,7 +19,7 @@ numbers = st.integers(min_value=1, max_value=6)
     batch=st.lists(st.tuples(numbers, streets), max_size=12),
 )
 def test_insert_ignore_matches_model(spark, table_numbers, batch):
-    current_rows = [listing_row(10 * (i + 1), f"{n} Main, Brampton") for i, n in enumerate(sorted(table_numbers))]
+    current_rows = [listing_row(10 * (i + 1), f"{n} Main, Springfield") for i, n in enumerate(sorted(table_numbers))]
     current = listing_frame(spark, current_rows)
     mark = max([r[0] for r in current_rows], default=0)
     raw = [raw_row(100 + i, n, street=s) for i, (n, s) in enumerate(batch)]
@@ -29,7 +29,7 @@ def test_insert_ignore_matches_model(spark, table_numbers, batch):
     taken = {r[1] for r in current_rows}
     kept = []
     for sid, (n, s) in sorted((100 + i, b) for i, b in enumerate(batch)):
-        addr = None if s is None else f"{n} {s}, Brampton"
+        addr = None if s is None else f"{n} {s}, Springfield"
         if addr is not None and addr in taken:
             continue
         if addr is not None:

@@ -10,30 +10,30 @@ from tests.helpers import listing_frame, listing_row
 
 def _table(spark):
     rows = [
-        listing_row(1, "1 Main, Brampton", "400000.00", age=3, age_range="0-5", sqft=1200, sqft_range="0-1499"),
-        listing_row(2, "2 Main, Brampton", "500000.00", age=30, age_range="26+", sqft=1600),
-        listing_row(3, "3 Main, Brampton", "600000.00", age=12, age_range="11-15", sqft=2100, sqft_range="2000-2499"),
-        listing_row(4, "4 Main, Brampton", "700000.00", age=7, age_range="6-10", sqft=1700),
-        listing_row(5, "5 Main, Mississauga", "900000.00", city="Mississauga"),
-        listing_row(6, "6 Main, Brampton", "800000.00", ptype="semi-detached"),
+        listing_row(1, "1 Main, Springfield", "400000.00", age=3, age_range="0-5", sqft=1200, sqft_range="0-1499"),
+        listing_row(2, "2 Main, Springfield", "500000.00", age=30, age_range="26+", sqft=1600),
+        listing_row(3, "3 Main, Springfield", "600000.00", age=12, age_range="11-15", sqft=2100, sqft_range="2000-2499"),
+        listing_row(4, "4 Main, Springfield", "700000.00", age=7, age_range="6-10", sqft=1700),
+        listing_row(5, "5 Main, Riverton", "900000.00", city="Riverton"),
+        listing_row(6, "6 Main, Springfield", "800000.00", ptype="semi-detached"),
     ]
     return listing_frame(spark, rows)
 
 
 def test_compare_by_age_order_puts_open_bin_last(spark):
-    got = [(r[0], r[1]) for r in reports.compare_by_age(_table(spark), "1 Main, Brampton").collect()]
+    got = [(r[0], r[1]) for r in reports.compare_by_age(_table(spark), "1 Main, Springfield").collect()]
     assert [g[0] for g in got] == ["0-5", "6-10", "11-15", "26+"]
     assert got[1][1] == 700000.0
 
 
 def test_compare_by_sqft_label_order_and_average(spark):
-    got = [(r[0], r[1]) for r in reports.compare_by_sqft(_table(spark), "2 Main, Brampton").collect()]
+    got = [(r[0], r[1]) for r in reports.compare_by_sqft(_table(spark), "2 Main, Springfield").collect()]
     # peers: same city and type (ids 1-4), the selected listing included
     assert got == [("0-1499", 400000.0), ("1500-1999", 600000.0), ("2000-2499", 600000.0)]
 
 
 def test_overlay_adds_selected_price(spark):
-    rows = reports.overlay_by_sqft(_table(spark), "2 Main, Brampton").collect()
+    rows = reports.overlay_by_sqft(_table(spark), "2 Main, Springfield").collect()
     assert all(r["selected_price"] == Decimal("500000.00") for r in rows)
     assert [r["price_minus_avg"] for r in rows] == [100000.0, -100000.0, -100000.0]
 
@@ -55,12 +55,12 @@ def test_price_vs_peers_covers_every_listing(spark):
 
 def test_detail_and_search(spark):
     t = _table(spark)
-    card = reports.listing_detail(t, "2024-01-01", "3 Main, Brampton").first()
+    card = reports.listing_detail(t, "2024-01-01", "3 Main, Springfield").first()
     assert card["price_text"] == "$600,000.00" and card["finished_basement_text"] == "True"
     assert card["days_on_market"] == 245
-    found = sorted(r["listing_id"] for r in reports.address_search(t, "MISSISSAUGA").collect())
+    found = sorted(r["listing_id"] for r in reports.address_search(t, "RIVERTON").collect())
     assert found == [5]
-    assert [r[0] for r in reports.address_options(t).collect()][:2] == ["1 Main, Brampton", "2 Main, Brampton"]
+    assert [r[0] for r in reports.address_options(t).collect()][:2] == ["1 Main, Springfield", "2 Main, Springfield"]
 
 
 def _plan(df):
@@ -84,20 +84,20 @@ def test_snapshot_scan_prunes_columns_and_pushes_filters(spark, scratch):
     snap = read_snapshot(spark, path)
     keys_plan = _plan(reports.project_keys(snap))
     assert "ReadSchema: struct<listing_id:bigint>" in keys_plan or "struct<listing_id:bigint>" in keys_plan
-    lookup_plan = _plan(reports.listing_lookup(snap, "1 Main, Brampton"))
-    assert "EqualTo(address,1 Main, Brampton)" in lookup_plan
-    city_plan = _plan(snap.filter("city = 'Mississauga'"))
+    lookup_plan = _plan(reports.listing_lookup(snap, "1 Main, Springfield"))
+    assert "EqualTo(address,1 Main, Springfield)" in lookup_plan
+    city_plan = _plan(snap.filter("city = 'Riverton'"))
     assert "PartitionFilters: [isnotnull(city" in city_plan
 
 
 def test_compare_prunes_city_partitions(spark, scratch):
     path = scratch("snap_city")
     write_snapshot(_table(spark), path, partition_by_city=True)
-    df = reports.compare_by_sqft(read_snapshot(spark, path), "2 Main, Brampton")
+    df = reports.compare_by_sqft(read_snapshot(spark, path), "2 Main, Springfield")
     df.collect()
     plan = _plan(df)
     assert "dynamicpruningexpression(city" in plan  # only the selected city's folder is read
-    assert "EqualTo(address,2 Main, Brampton)" in plan
+    assert "EqualTo(address,2 Main, Springfield)" in plan
 
 
 def test_sql_compare_by_age_order(spark):

@@ -23,7 +23,7 @@ def _rows(df):
 
 
 def test_insert_ignore_conflicts_and_duplicates(spark, join_path):
-    current = listing_frame(spark, [listing_row(10, "1 Main, Brampton"), listing_row(20, "2 Main, Brampton")])
+    current = listing_frame(spark, [listing_row(10, "1 Main, Springfield"), listing_row(20, "2 Main, Springfield")])
     batch = enrich(
         raw_frame(
             spark,
@@ -41,19 +41,19 @@ def test_insert_ignore_conflicts_and_duplicates(spark, join_path):
     got = _rows(out)
     # new rows numbered above the mark (20) in source_id order: 4, 5, 6, 8
     assert got == [
-        (10, "1 Main, Brampton"),
-        (20, "2 Main, Brampton"),
+        (10, "1 Main, Springfield"),
+        (20, "2 Main, Springfield"),
         (21, None),
-        (22, "4 Main, Brampton"),
+        (22, "4 Main, Springfield"),
         (23, None),
-        (24, "3 Main, Brampton"),
+        (24, "3 Main, Springfield"),
     ]
-    winner = out.filter(F.col("address") == "3 Main, Brampton").first()
+    winner = out.filter(F.col("address") == "3 Main, Springfield").first()
     assert winner["property_type"] == "semi-detached"
 
 
 def test_insert_same_batch_twice_is_noop(spark, join_path):
-    current = listing_frame(spark, [listing_row(1, "1 Main, Brampton")])
+    current = listing_frame(spark, [listing_row(1, "1 Main, Springfield")])
     batch = enrich(raw_frame(spark, [raw_row(3, 2), raw_row(4, 3)]))
     once = snapshot.insert_ignore(current, batch)
     once = spark.createDataFrame(once.collect(), once.schema)
@@ -62,11 +62,11 @@ def test_insert_same_batch_twice_is_noop(spark, join_path):
 
 
 def test_insert_after_deleting_largest_id_uses_stored_mark(spark, join_path):
-    current = listing_frame(spark, [listing_row(1, "1 Main, Brampton"), listing_row(2, "2 Main, Brampton")])
+    current = listing_frame(spark, [listing_row(1, "1 Main, Springfield"), listing_row(2, "2 Main, Springfield")])
     after_delete = snapshot.delete_by_key(current, spark.createDataFrame([(2,)], "listing_id long"))
     batch = enrich(raw_frame(spark, [raw_row(3, 9)]))
     out = snapshot.insert_ignore(after_delete, batch, id_mark=2)
-    assert _rows(out) == [(1, "1 Main, Brampton"), (3, "9 Main, Brampton")]
+    assert _rows(out) == [(1, "1 Main, Springfield"), (3, "9 Main, Springfield")]
 
 
 def test_assign_ids_matches_global_row_number(spark):

@@ -21,7 +21,7 @@ def _write_lines(path: str, lines):
 
 
 GOOD = {
-    "street_number": 12, "street_name": "Main", "city": "Brampton", "age": 5.9, "sqft": 1499.9,
+    "street_number": 12, "street_name": "Main", "city": "Springfield", "age": 5.9, "sqft": 1499.9,
     "finished_basement": False, "number_bedrooms": 3, "list_date": "2023-05-01",
     "property_type": "semi-detached", "type": "listing",
 }
@@ -31,7 +31,7 @@ def test_json_read_fixed_schema(spark, scratch):
     path = _write_lines(scratch("raw"), [json.dumps(GOOD)])
     df = read_raw_jsonl(spark, path)
     row = enrich(df).first()
-    assert row["address"] == "12 Main, Brampton"
+    assert row["address"] == "12 Main, Springfield"
     assert row["sqft_range"] == "0-1499" and row["sqft"] == 1499
     assert row["listing_price"] == Decimal("730451.30")  # 1499.9 * 487
 
@@ -54,7 +54,7 @@ def test_snapshot_write_refuses_existing_path(spark, scratch):
 def test_write_run_end_to_end(spark, scratch):
     base = scratch("run")
     snap0 = f"{base}/snap0"
-    rows = [listing_row(i, f"{i} Main, Brampton", price=f"{300000 + i}.00") for i in range(1, 101)]
+    rows = [listing_row(i, f"{i} Main, Springfield", price=f"{300000 + i}.00") for i in range(1, 101)]
     write_snapshot(listing_frame(spark, rows), snap0)
     batch_lines = [json.dumps({**GOOD, "street_number": 200 + i, "source_id": i}) for i in range(60)]
     batch_lines.append(json.dumps({**GOOD, "street_number": 5, "source_id": 99}))  # conflict
@@ -108,28 +108,28 @@ def test_json_batch_without_source_id_has_total_order(spark, scratch):
     rows = [{**GOOD, "age": a} for a in (30.0, 7.0, 12.0)] + [{**GOOD, "street_number": 99}]
     path = _write_lines(scratch("raw_noid"), [json.dumps(r) for r in rows])
     batch = enrich(read_raw_jsonl(spark, path))
-    current = listing_frame(spark, [listing_row(5, "1 Main, Brampton")])
+    current = listing_frame(spark, [listing_row(5, "1 Main, Springfield")])
     out = S.insert_ignore(current, batch)
     got = {r["address"]: (r["listing_id"], r["age"]) for r in out.collect()}
     # duplicates of 12 Main: the row that sorts first (age 7) wins; ids follow
     # the same order (12 Main before 99 Main)
-    assert got["12 Main, Brampton"] == (6, 7)
-    assert got["99 Main, Brampton"] == (7, 5)
+    assert got["12 Main, Springfield"] == (6, 7)
+    assert got["99 Main, Springfield"] == (7, 5)
 
 
 def test_write_run_city_partitioned(spark, scratch):
     base = scratch("run_city")
     snap0 = f"{base}/snap0"
-    rows = [listing_row(i, f"{i} Main, Brampton", price=f"{300000 + i}.00") for i in range(1, 41)]
+    rows = [listing_row(i, f"{i} Main, Springfield", price=f"{300000 + i}.00") for i in range(1, 41)]
     write_snapshot(listing_frame(spark, rows), snap0, partition_by_city=True)
     lines = [json.dumps({**GOOD, "street_number": 500 + i, "source_id": i, "city": c})
-             for i, c in enumerate(["Brampton", "Mississauga", "Caledon"] * 4)]
+             for i, c in enumerate(["Springfield", "Riverton", "Lakeside"] * 4)]
     batch = _write_lines(f"{base}/batch", lines)
     cfg = RunConfig(delete_seed=1, update_seed=2, delete_pct="0.02", update_pct="0.02")
     mark = write_run(spark, snap0, batch, f"{base}/snap1", cfg, partition_by_city=True)
     out = read_snapshot(spark, f"{base}/snap1")
     assert mark == 52 and read_mark(spark, f"{base}/snap1") == 52
     assert out.count() == 52 - 1  # round(52 * 0.02) = 1 deleted
-    assert {r[0] for r in out.select("city").distinct().collect()} == {"Brampton", "Mississauga", "Caledon"}
+    assert {r[0] for r in out.select("city").distinct().collect()} == {"Springfield", "Riverton", "Lakeside"}
     with pytest.raises(ValueError):
         write_run(spark, f"{base}/snap1", batch, f"{base}/snap1", cfg)

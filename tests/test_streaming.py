@@ -9,7 +9,7 @@ from abode.streaming.file_ingest import IngestConfig, ingest_available, version_
 from tests.helpers import listing_frame, listing_row
 
 
-def _line(source_id, number, city="Brampton"):
+def _line(source_id, number, city="Springfield"):
     return json.dumps(
         {
             "source_id": source_id, "street_number": number, "street_name": "Main", "city": city,
@@ -24,7 +24,7 @@ def test_ingest_processes_each_file_once(spark, scratch):
     landing = base / "landing"
     landing.mkdir(parents=True)
     initial = str(base / "initial")
-    write_snapshot(listing_frame(spark, [listing_row(i, f"{i} Main, Brampton") for i in range(1, 51)]), initial)
+    write_snapshot(listing_frame(spark, [listing_row(i, f"{i} Main, Springfield") for i in range(1, 51)]), initial)
     cfg = IngestConfig(
         landing_dir=str(landing),
         snapshot_root=str(base / "snapshots"),
