@@ -17,6 +17,7 @@ from abode.operators import churn, reports, snapshot
 from abode.operators.enrich import cast_columns, enrich
 from abode.params import (
     AS_OF,
+    BATCH_SINCE,
     DELETE_SEED,
     PCT,
     SEARCH_TERM,
@@ -59,12 +60,13 @@ def stored_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def current_and_raw_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with ``source_id % 3 = 0`` form the current table (stored), the
-    rest arrive as one raw batch. Both halves together are the whole table."""
+    """Listings dated before ``BATCH_SINCE`` form the current table (stored);
+    the later ones (and any without a date) arrive as one raw batch. Both
+    halves together are the whole table."""
     raw = raw_listings(spark, sf_dir)
-    third = F.col("source_id") % 3
-    current = materialize(snapshot.to_listings(enrich(raw.filter(third == 0))))
-    return current, raw.filter(third != 0)
+    older = F.coalesce(F.col("list_date") < F.lit(BATCH_SINCE).cast("date"), F.lit(False))
+    current = materialize(snapshot.to_listings(enrich(raw.filter(older))))
+    return current, raw.filter(~older)
 
 
 def current_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

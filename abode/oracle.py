@@ -13,6 +13,7 @@ from __future__ import annotations
 from abode import functions as AF
 from abode.params import (
     AS_OF,
+    BATCH_SINCE,
     DELETE_SEED,
     PCT,
     SEARCH_TERM,
@@ -118,14 +119,15 @@ LISTINGS_CTE = f"""listings AS (
 
 BASE = f"WITH {RAW_CTE},\n{ENRICHED_CTE},\n{LISTINGS_CTE}"
 
-# Insert chain: the rows with source_id % 3 = 0 form the current table, the
+# Insert chain: listings dated before BATCH_SINCE form the current table, the
 # others arrive as one batch. Together they are the whole table.
+_OLDER = f"coalesce(list_date < DATE '{BATCH_SINCE}', false)"
 INSERT_CTES = f""",
 cur AS (
   SELECT source_id AS listing_id, {LCOLS_NO_ID}
-  FROM ({_dedup('(SELECT * FROM enriched WHERE source_id % 3 = 0)')}) c0
+  FROM ({_dedup(f'(SELECT * FROM enriched WHERE {_OLDER})')}) c0
 ),
-batch_u AS ({_dedup('(SELECT * FROM enriched WHERE source_id % 3 <> 0)')}),
+batch_u AS ({_dedup(f'(SELECT * FROM enriched WHERE NOT {_OLDER})')}),
 fresh AS (
   SELECT * FROM batch_u b
   WHERE b.address IS NULL OR NOT EXISTS (SELECT 1 FROM cur c WHERE c.address = b.address)

@@ -13,3 +13,6 @@ UPDATE_SEED = 89
 PCT = "0.02"
 # Price of the unknown id added to the upsert delta.
 UNKNOWN_PRICE = "250000.00"
+# Listings dated before this day form the current table of the insert
+# queries; the later ones arrive as one batch (together: the whole table).
+BATCH_SINCE = "1999-01-01"
