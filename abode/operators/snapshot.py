@@ -61,6 +61,9 @@ def to_listings(enriched: DataFrame, id_col: str = "source_id") -> DataFrame:
     address over just those two columns (the map-side partial aggregate
     collapses a hot address), then a semi join of the rows on the unique id,
     which has no hot key. A null address keeps its own id as the winner.
+    The input is read twice (only address and id the first time), which is
+    cheap for a stored table; for an expensive derived input the one-pass
+    :func:`dedup_by_address` is the better choice.
     """
     lone = F.when(F.col("address").isNull(), F.col(id_col))
     winners = (
