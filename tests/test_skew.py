@@ -51,3 +51,33 @@ def test_hot_city_peers_whole(spark):
     # every Springfield row sees its own group's size; sizes add up per group
     groups = enriched.filter(F.col("city") == "Springfield").groupBy("age_range").count().collect()
     assert brampton == sum(g["count"] ** 2 for g in groups)
+
+
+def test_peer_join_fallback_splits_hot_partition(spark, monkeypatch):
+    """Above the broadcast bound the peer join is a sort-merge join; with a
+    hot (city, bin) group AQE splits the skewed partition (skew=true)."""
+    from abode.plans import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", -1)
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        raw = _skewed_raw(spark, 60_000)
+        out = reports.price_vs_age_peers(enrich(raw).withColumn("listing_id", F.col("source_id")))
+        rows = out.collect()
+        assert len(rows) == 60_000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
