@@ -12,6 +12,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from abode.operators import churn, reports, snapshot
 from abode.operators.enrich import cast_columns, enrich
@@ -26,7 +27,6 @@ from abode.params import (
     UPDATE_SEED,
 )
 from abode.plans.batch_run import RunConfig, run_batch
-from abode.plans.materialize import materialize
 from abode.schemas import ENRICHED, LISTING_COLUMNS, PRICE_TYPE, RAW_JSON
 from abode.session import scratch_path
 from abode.sinks import write_raw_jsonl, write_snapshot
@@ -48,15 +48,27 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.to_listings(enriched(spark, sf_dir))
 
 
+def store(spark: SparkSession, df: DataFrame, name: str, partition_by_city: bool = False) -> DataFrame:
+    """Write ``df`` as a Parquet snapshot under the shared checkpoint folder
+    and read it back, as a run reads the previous snapshot from storage.
+
+    Unlike an RDD checkpoint, later reads of a Parquet table get column
+    pruning, pushed filters and (when partitioned by city) partition pruning.
+    """
+    path = scratch_path(spark, name)
+    write_snapshot(df, path, partition_by_city=partition_by_city)
+    return read_snapshot(spark, path, T.StructType([df.schema[c] for c in df.columns]))
+
+
 def stored_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listings table as a stored snapshot.
 
-    Changes read the table several times (sample histogram, boundary, the
-    change itself), as a run reads the previous snapshot from storage; the
-    derivation from the supplied tables is therefore materialized once in
-    the shared checkpoint folder instead of being recomputed per pass.
+    Changes and one-address reports read the table several times (sample
+    histogram, boundary, the change itself; lookup and peers), so the
+    derivation from the supplied tables is written once instead of being
+    recomputed per pass.
     """
-    return materialize(listings(spark, sf_dir))
+    return store(spark, listings(spark, sf_dir), "listings")
 
 
 def current_and_raw_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -65,7 +77,7 @@ def current_and_raw_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
     halves together are the whole table."""
     raw = raw_listings(spark, sf_dir)
     older = F.coalesce(F.col("list_date") < F.lit(BATCH_SINCE).cast("date"), F.lit(False))
-    current = materialize(snapshot.to_listings(enrich(raw.filter(older))))
+    current = store(spark, snapshot.to_listings(enrich(raw.filter(older))), "current")
     return current, raw.filter(~older)
 
 
