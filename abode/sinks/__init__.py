@@ -23,6 +23,11 @@ def write_snapshot(
     Sorting each task's rows by address (no shuffle) gives every Parquet row
     group a narrow address range, so point lookups skip most row groups.
     """
+    if partition_by_city:
+        # one shuffle so each city folder gets few, evenly sized files: AQE
+        # splits a hot city across several tasks and merges small ones,
+        # instead of every task writing a small file for every city
+        df = df.hint("rebalance", "city")
     keys = (["city"] if partition_by_city else []) + (["address"] if sort_by_address else [])
     if keys:
         df = df.sortWithinPartitions(*keys)
