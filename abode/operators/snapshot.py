@@ -56,7 +56,7 @@ def dedup_by_address(batch: DataFrame, order_by: Sequence[str] | None = None) ->
 def to_listings(enriched: DataFrame, id_col: str = "source_id") -> DataFrame:
     """Listings table from an enriched batch: first row per address, id = tie-break.
 
-    ``id_col`` becomes ``listing_id``, so it is unique. That allows a cheaper
+    ``id_col`` becomes ``listing_id``, so it is unique and non-null. That allows a cheaper
     form of :func:`dedup_by_address`: a hash aggregate of the smallest id per
     address over just those two columns (the map-side partial aggregate
     collapses a hot address), then a semi join of the rows on the unique id,
