@@ -27,10 +27,12 @@ def average_price(price: str = "listing_price") -> F.Column:
 
 
 def listing_count(listings: DataFrame) -> DataFrame:
+    """Number of listings (one row)."""
     return listings.agg(F.count(F.lit(1)).alias("listing_count"))
 
 
 def project_keys(listings: DataFrame) -> DataFrame:
+    """The key column only; the scan reads nothing else."""
     return listings.select("listing_id")
 
 
@@ -74,14 +76,17 @@ def listing_card(listings: DataFrame, address: str, as_of: dt.date | str | None
 
 
 def days_on_market(listings: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+    """Whole days between the list date and ``as_of`` (default: today)."""
     return listings.select("listing_id", AF.days_on_market("list_date", as_of).alias("days_on_market"))
 
 
 def format_price(listings: DataFrame) -> DataFrame:
+    """Price as currency text, e.g. ``$1,234,567.00``."""
     return listings.select("listing_id", AF.price_text("listing_price").alias("price_text"))
 
 
 def photoset_bucket(listings: DataFrame) -> DataFrame:
+    """Photo set 1..3 of each address (stable md5 bucket)."""
     return listings.select("listing_id", "address", AF.photoset("address").alias("photoset"))
 
 

@@ -121,6 +121,7 @@ def assign_ids(
 
 
 def high_water_mark(table: DataFrame) -> int:
+    """Largest ``listing_id`` in the table (0 when empty); one scalar."""
     value = table.agg(F.max("listing_id")).collect()[0][0]
     return int(value) if value is not None else 0
 

@@ -97,6 +97,7 @@ def run_changes(
 
 
 def read_mark(spark: SparkSession, snapshot_path: str) -> int | None:
+    """The id mark stored next to a snapshot, or None if it has none."""
     try:
         row = spark.read.parquet(f"{snapshot_path.rstrip('/')}/{MARK_DIR}").collect()
     except Exception:  # noqa: BLE001 - no mark stored yet

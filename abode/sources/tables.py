@@ -22,6 +22,7 @@ TABLE_SCHEMAS = {
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One supplied table; the columns used here are declared, not inferred."""
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
