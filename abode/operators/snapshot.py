@@ -56,22 +56,12 @@ def dedup_by_address(batch: DataFrame, order_by: Sequence[str] | None = None) ->
 def to_listings(enriched: DataFrame, id_col: str = "source_id") -> DataFrame:
     """Listings table from an enriched batch: first row per address, id = tie-break.
 
-    ``id_col`` becomes ``listing_id``, so it is unique and non-null. That allows a cheaper
-    form of :func:`dedup_by_address`: a hash aggregate of the smallest id per
-    address over just those two columns (the map-side partial aggregate
-    collapses a hot address), then a semi join of the rows on the unique id,
-    which has no hot key. A null address keeps its own id as the winner.
-    The input is read twice (only address and id the first time), which is
-    cheap for a stored table; for an expensive derived input the one-pass
-    :func:`dedup_by_address` is the better choice.
+    ``id_col`` becomes ``listing_id``, so it must be unique and non-null.
+    One pass of :func:`dedup_by_address`: because the aggregate is grouped
+    by address, a filter on ``address`` above this (a point lookup) is pushed
+    below the aggregate and the dedup only touches that address's rows.
     """
-    lone = F.when(F.col("address").isNull(), F.col(id_col))
-    winners = (
-        enriched.groupBy(F.col("address"), lone.alias("_lone"))
-        .agg(F.min(id_col).alias(id_col))
-        .select(id_col)
-    )
-    unique = enriched.join(winners, id_col, "left_semi")
+    unique = dedup_by_address(enriched, [id_col])
     return unique.withColumn("listing_id", F.col(id_col).cast("bigint")).select(*LISTING_COLUMNS)
 
 
