@@ -1,0 +1,35 @@
+"""Global plan guards over every registered query: no Python evaluation in
+the hot path, no cross joins, no nested-loop joins."""
+
+import pytest
+
+from tests.conftest import SF_SMALL
+
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    import __spark_entry__ as E
+
+    out = {}
+    for name, fn in E.queries().items():
+        df = fn(spark, SF_SMALL)
+        df.collect()
+        out[name] = df._jdf.queryExecution().executedPlan().toString()
+    return out
+
+
+def test_no_python_eval_or_cross_joins(plans):
+    bad = {name: [f for f in FORBIDDEN if f in plan] for name, plan in plans.items()}
+    bad = {k: v for k, v in bad.items() if v}
+    assert not bad, bad
+
+
+def test_entry_plan_is_clean(spark):
+    import __spark_entry__ as E
+
+    df = E.entry(spark)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(f in plan for f in FORBIDDEN)
