@@ -144,3 +144,34 @@ def test_full_run_is_reproducible(spark):
     first = sorted(map(tuple, q(spark, "/root/testdata/sf0.001").select(*cols).collect()))
     second = sorted(map(tuple, q(spark, "/root/testdata/sf0.001").select(*cols).collect()))
     assert first == second and len(first) > 0
+
+
+def test_nulls_flow_through_run_and_reports(spark, scratch):
+    from abode.operators import reports
+
+    base = scratch("nulls")
+    snap0 = f"{base}/snap0"
+    write_snapshot(listing_frame(spark, [listing_row(i, f"{i} Main, Springfield") for i in range(1, 31)]), snap0)
+    nully = [
+        {**GOOD, "street_number": 801, "source_id": 1, "street_name": None},
+        {**GOOD, "street_number": 802, "source_id": 2, "city": None},
+        {**GOOD, "street_number": 803, "source_id": 3, "sqft": None},
+        {**GOOD, "street_number": 804, "source_id": 4, "age": None},
+        {**GOOD, "street_number": 805, "source_id": 5, "property_type": None},
+        {**GOOD, "street_number": 806, "source_id": 6, "list_date": None},
+    ]
+    batch = _write_lines(f"{base}/batch", [json.dumps({k: v for k, v in r.items() if v is not None}) for r in nully])
+    cfg = RunConfig(delete_seed=5, update_seed=6, delete_pct="0.01", update_pct="0.01")
+    write_run(spark, snap0, batch, f"{base}/snap1", cfg)
+    out = read_snapshot(spark, f"{base}/snap1")
+    rows = {r["listing_id"]: r for r in out.collect()}
+    assert len(rows) == 36  # 30 + 6 new; round(36 * 0.01) = 0 deleted
+    by_number = {r["street_number"]: r for r in rows.values()}
+    assert by_number[801]["address"] is None and by_number[802]["address"] is None
+    assert by_number[803]["sqft_range"] == "2000-2499" and by_number[803]["listing_price"] is None
+    assert by_number[804]["age_range"] == "26+"
+    assert by_number[805]["listing_price"] == Decimal("707952.80")  # other type rate on 1499.9
+    assert by_number[806]["list_date"] is None
+    # reports keep every row, null groups included
+    assert reports.price_vs_age_peers(out).count() == 36
+    assert reports.listing_detail(out, "2024-01-01").count() == 36
