@@ -104,3 +104,12 @@ def test_sql_compare_by_age_order(spark):
     df = catalog.queries()["sql_compare_by_age"](spark, SF_SMALL)
     labels = [r[0] for r in df.collect()]
     assert labels[-1] == "26+" and labels == sorted(labels, key=lambda x: (x == "26+", int(x.split("-")[0].rstrip("+"))))
+
+
+def test_lookup_with_quotes_is_parameterized(spark):
+    t = listing_frame(spark, [listing_row(1, "12 O'Neil Ave, St. John's"), listing_row(2, "x")])
+    assert reports.listing_lookup(t, "12 O'Neil Ave, St. John's").count() == 1
+    df = spark.sql(
+        "SELECT listing_id FROM {t} WHERE address = :a", args={"a": "12 O'Neil Ave, St. John's"}, t=t
+    )
+    assert [r[0] for r in df.collect()] == [1]
