@@ -1,0 +1,47 @@
+import sys, io, contextlib
+sys.path.insert(0, "/root/repo")
+from pyspark.sql import functions as F
+from abode.session import build_session
+from abode import catalog
+from abode.operators import churn, reports, snapshot
+from abode.plans.batch_run import RunConfig, plan_run
+spark = build_session("local[8]", shuffle_partitions=8)
+d = "/root/testdata/sf0.01"
+
+def tree(df):
+    df.write.format("noop").mode("overwrite").save()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    txt = buf.getvalue()
+    t = txt.split("\n\n\n")[0].replace("== Physical Plan ==\n", "")
+    scans = []
+    for block in txt.split("\n\n"):
+        lines = block.strip().splitlines()
+        if lines and lines[0].startswith("(") and "Scan parquet" in lines[0]:
+            for l in lines:
+                if l.startswith(("PushedFilters", "PartitionFilters", "ReadSchema")):
+                    scans.append(f"{lines[0].strip()} {l}")
+    return t, scans
+
+stored = catalog.stored_listings(spark, d)
+current, raw_batch = catalog.current_and_raw_batch(spark, d)
+snap, changes = plan_run(current, raw_batch, None, RunConfig(88, 89, "0.02", "0.02"))
+items = [
+    ("Full batch run: the snapshot written by a run (after inserts are numbered and both cuts are known)", snap),
+    ("Churn delete on a stored snapshot", churn.apply_churn_delete(stored, 88, "0.02")),
+    ("Compare by size for one address on a stored snapshot", reports.compare_by_sqft(stored, "1 FURNITURE, NATION_24")),
+    ("Every listing vs its size peers", reports.price_vs_sqft_peers(stored)),
+    ("Upsert of a small price delta", snapshot.upsert_price(stored, changes.price_delta)),
+    ("Listings derived from the supplied tables (dedup)", catalog.listings(spark, d)),
+]
+out = ["# Physical plans of the main operators", "",
+       "Generated at sf0.01 on local[8] with AQE on (initial plans; AQE may",
+       "still coalesce partitions at run time). Regenerate with",
+       "`python tests/show_plans.py > PLANS.md`.", ""]
+for title, df in items:
+    t, scans = tree(df)
+    out += [f"## {title}", "", "```", t.strip(), "```", ""]
+    if scans:
+        out += ["Parquet scans:", ""] + [f"- `{s}`" for s in scans] + [""]
+print("\n".join(out))
