@@ -101,12 +101,6 @@ def _resolve(scope: DataFrame, hist, prefix_len: int, k: int, seed: int, key: st
         i = int(np.searchsorted(running, remaining))  # first bucket reaching k
         remaining -= int(running[i] - counts[i])
         scope = scope.filter(F.substring("_h", 1, prefix_len) == F.lit(prefixes[i]))
-        if prefix_len >= 32:
-            # the whole digest is equal, i.e. the same key repeated: ids are a
-            # unique key, so this only happens on bad input; cut at that key
-            # rather than ordering an unbounded group
-            key_value = scope.agg(F.min("_k")).collect()[0][0]
-            return SampleCut(prefixes[i], key_value, seed, key)
         if counts[i] <= BOUNDARY_MAX_ROWS:
             last = (
                 scope.orderBy("_h", "_k")
@@ -115,6 +109,12 @@ def _resolve(scope: DataFrame, hist, prefix_len: int, k: int, seed: int, key: st
                 .collect()[0]["m"]
             )
             return SampleCut(last["_h"], last["_k"], seed, key)
+        if prefix_len >= 32:
+            # a whole digest shared by more rows than the bound: the same key
+            # repeated. Ids are a unique key, so this only happens on bad
+            # input; cut at that key rather than ordering an unbounded group.
+            key_value = scope.agg(F.min("_k")).collect()[0][0]
+            return SampleCut(prefixes[i], key_value, seed, key)
         prefix_len = min(32, prefix_len + PREFIX_STEP)
         hist = _histogram(scope, prefix_len)
 

@@ -84,3 +84,13 @@ def test_empty_sample(spark):
     assert table.filter(churn.find_cut(table, 1, 0).predicate()).count() == 0
     # k >= n takes everything
     assert table.filter(churn.find_cut(table, 1, 99).predicate()).count() == 16
+
+
+def test_repeated_key_keeps_the_cut_bounded(spark, monkeypatch):
+    # bad input: one id repeated; the boundary cannot be narrowed by hashing
+    monkeypatch.setattr(churn, "BOUNDARY_MAX_ROWS", 5)
+    df = spark.createDataFrame([(7,)] * 50 + [(i,) for i in range(100, 120)], "listing_id long")
+    cut = churn.find_cut(df, 3, 30)
+    picked = df.filter(cut.predicate())
+    # whole-key semantics: the repeated id is either fully in or fully out
+    assert picked.filter("listing_id = 7").count() in (0, 50)
