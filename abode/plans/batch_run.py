@@ -113,18 +113,24 @@ def write_run(
     config: RunConfig,
     partition_by_city: bool = False,
     mode: str = "errorifexists",
+    archive_out: str | None = None,
 ) -> int:
     """Read snapshot and JSON batch, run, write the new snapshot and id mark.
 
     The id mark (largest id ever issued) is stored next to the data so ids of
-    deleted rows are never issued again. Returns the new mark.
+    deleted rows are never issued again. With ``archive_out`` the enriched
+    batch is also kept as a Parquet archive (written once, never overwritten).
+    Returns the new mark.
     """
     if snapshot_out.rstrip("/") == snapshot_in.rstrip("/"):
         raise ValueError("a run must write a new snapshot path, not the one it reads")
     current = read_snapshot(spark, snapshot_in)
     stored = read_mark(spark, snapshot_in)
     mark = stored if stored is not None else high_water_mark(current)
-    result, new_mark = run_batch(current, read_raw_jsonl(spark, batch_path), mark, config)
+    raw_batch = read_raw_jsonl(spark, batch_path)
+    if archive_out:
+        write_snapshot(enrich(raw_batch), archive_out, sort_by_address=False)
+    result, new_mark = run_batch(current, raw_batch, mark, config)
     write_snapshot(result, snapshot_out, partition_by_city=partition_by_city, mode=mode)
     spark.range(1).select(F.lit(new_mark).cast("bigint").alias("id_mark")).write.mode(
         "overwrite"

@@ -60,8 +60,10 @@ def test_write_run_end_to_end(spark, scratch):
     batch_lines.append(json.dumps({**GOOD, "street_number": 5, "source_id": 99}))  # conflict
     batch = _write_lines(f"{base}/batch", batch_lines)
     cfg = RunConfig(delete_seed=88, update_seed=89, delete_pct="0.03", update_pct="0.02")
-    mark = write_run(spark, snap0, batch, f"{base}/snap1", cfg)
+    mark = write_run(spark, snap0, batch, f"{base}/snap1", cfg, archive_out=f"{base}/archive")
     assert mark == 160 and read_mark(spark, f"{base}/snap1") == 160
+    archive = spark.read.parquet(f"{base}/archive")
+    assert archive.count() == 61 and "listing_price" in archive.columns and "type" not in archive.columns
     out = read_snapshot(spark, f"{base}/snap1")
     # 100 + 60 new = 160 rows, minus round(160 * 0.03) = 5 deleted
     assert out.count() == 155
