@@ -80,6 +80,16 @@ def plan_run(
     return snapshot, changes
 
 
+def write_changes(changes: RunChanges, path: str) -> None:
+    """Write a run's change sets as Parquet (``new_rows``, ``deleted_keys``,
+    ``price_delta`` under ``path``), for a store that applies them in place
+    the way the reference's jobs applied inserts, deletes and upserts."""
+    root = path.rstrip("/")
+    changes.new_rows.write.mode("errorifexists").parquet(f"{root}/new_rows")
+    changes.deleted_keys.write.mode("errorifexists").parquet(f"{root}/deleted_keys")
+    changes.price_delta.write.mode("errorifexists").parquet(f"{root}/price_delta")
+
+
 def run_batch(
     current: DataFrame, raw_batch: DataFrame, id_mark: int | None, config: RunConfig
 ) -> tuple[DataFrame, int]:

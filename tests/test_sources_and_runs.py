@@ -177,3 +177,16 @@ def test_nulls_flow_through_run_and_reports(spark, scratch):
     # reports keep every row, null groups included
     assert reports.price_vs_age_peers(out).count() == 36
     assert reports.listing_detail(out, "2024-01-01").count() == 36
+
+
+def test_written_change_sets_read_back(spark, scratch):
+    from abode import catalog
+    from abode.plans.batch_run import run_changes, write_changes
+
+    current, raw_batch = catalog.current_and_raw_batch(spark, "/root/testdata/sf0.001")
+    ch = run_changes(current, raw_batch, None, RunConfig(88, 89, "0.02", "0.02"))
+    path = scratch("changes")
+    write_changes(ch, path)
+    for name, df in (("new_rows", ch.new_rows), ("deleted_keys", ch.deleted_keys), ("price_delta", ch.price_delta)):
+        back = spark.read.parquet(f"{path}/{name}")
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
