@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 
 from abode import functions as AF
 
+# A share of the table: a Decimal, or text/float converted exactly via str().
+Share = Decimal | str | float
+
 # Hex digits added per histogram level (16**4 = 65,536 buckets per level).
 PREFIX_STEP = 4
 # A boundary bucket at most this large is resolved by a bounded top-k.
@@ -36,12 +39,12 @@ def draw_pct(seed: int) -> Decimal:
     return Decimal(str(round(random.Random(seed).uniform(0.01, 0.03), 2)))
 
 
-def sample_size(n: int, pct) -> int:
+def sample_size(n: int, pct: Share) -> int:
     """``round(n * pct)`` with half-to-even rounding, on exact decimals."""
     return int((Decimal(n) * Decimal(str(pct))).quantize(Decimal(1), rounding=ROUND_HALF_EVEN))
 
 
-def sample_size_frame(table: DataFrame, pct) -> DataFrame:
+def sample_size_frame(table: DataFrame, pct: Share) -> DataFrame:
     """One row ``(n, pct, k)`` computed as a Spark aggregate."""
     p = F.lit(Decimal(str(pct)))
     n = F.count(F.lit(1))
@@ -145,7 +148,7 @@ def find_cut(table: DataFrame, seed: int, k: int, key: str = "listing_id") -> Sa
     return _cut(scope, _histogram(scope, PREFIX_STEP), k, seed, key)
 
 
-def sample_cut(table: DataFrame, seed: int, pct, key: str = "listing_id") -> SampleCut:
+def sample_cut(table: DataFrame, seed: int, pct: Share, key: str = "listing_id") -> SampleCut:
     """Cut for ``k = round(n * pct)``; the first histogram also yields ``n``,
     so counting and the first level share one pass over the keys."""
     scope = _scope(table, seed, key)
@@ -153,25 +156,25 @@ def sample_cut(table: DataFrame, seed: int, pct, key: str = "listing_id") -> Sam
     return _cut(scope, hist, sample_size(int(hist[1].sum()), pct), seed, key)
 
 
-def churn_delete_keys(table: DataFrame, seed: int, pct) -> DataFrame:
+def churn_delete_keys(table: DataFrame, seed: int, pct: Share) -> DataFrame:
     """The sampled keys (``listing_id``) chosen for deletion."""
     cut = sample_cut(table, seed, pct)
     return table.filter(cut.predicate()).select("listing_id")
 
 
-def churn_delete_rows(table: DataFrame, seed: int, pct) -> DataFrame:
+def churn_delete_rows(table: DataFrame, seed: int, pct: Share) -> DataFrame:
     """Full rows of the sampled keys (the reference's fetch-by-key step)."""
     cut = sample_cut(table, seed, pct)
     return table.filter(cut.predicate())
 
 
-def apply_churn_delete(table: DataFrame, seed: int, pct) -> DataFrame:
+def apply_churn_delete(table: DataFrame, seed: int, pct: Share) -> DataFrame:
     """Delete ``round(n * pct)`` sampled rows: one map-only filter."""
     cut = sample_cut(table, seed, pct)
     return table.filter(~cut.predicate())
 
 
-def reprice_sample(table: DataFrame, seed: int, pct) -> DataFrame:
+def reprice_sample(table: DataFrame, seed: int, pct: Share) -> DataFrame:
     """``(listing_id, listing_price)`` with the new price for each sampled row."""
     cut = sample_cut(table, seed, pct)
     factor = AF.reprice_factor("listing_id", seed)
@@ -180,7 +183,7 @@ def reprice_sample(table: DataFrame, seed: int, pct) -> DataFrame:
     )
 
 
-def apply_churn_update(table: DataFrame, seed: int, pct) -> DataFrame:
+def apply_churn_update(table: DataFrame, seed: int, pct: Share) -> DataFrame:
     """Re-price ``round(n * pct)`` sampled rows in place: one map-only CASE."""
     cut = sample_cut(table, seed, pct)
     factor = AF.reprice_factor("listing_id", seed)

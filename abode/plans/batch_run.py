@@ -9,6 +9,7 @@ transform; the run produces one snapshot, written once to a new path by
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +29,8 @@ MARK_DIR = "_id_mark"  # beside the snapshot's data files; ignored by Parquet re
 class RunConfig:
     delete_seed: int
     update_seed: int
-    delete_pct: object = None  # None: drawn from the seed, as the reference does
-    update_pct: object = None
+    delete_pct: Decimal | str | float | None = None  # None: drawn from the seed, as the reference does
+    update_pct: Decimal | str | float | None = None
 
 
 @dataclass(frozen=True)

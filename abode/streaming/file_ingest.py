@@ -15,6 +15,7 @@ never the one it reads.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ class IngestConfig:
     initial_snapshot: str | None = None  # version read by epoch 0
     delete_seed: int = 88
     update_seed: int = 89
-    delete_pct: object = None  # None: drawn per run from the run's seed
-    update_pct: object = None
+    delete_pct: Decimal | str | float | None = None  # None: drawn per run from the run's seed
+    update_pct: Decimal | str | float | None = None
     max_files_per_trigger: int | None = None
 
 
