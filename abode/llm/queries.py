@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abode.llm import exactdup, hilbert, langid, markov, pii, urlglob
+from abode.llm import bpe, decontam, exactdup, hilbert, langid, markov, pii, urlglob
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,13 @@ URL_RULES = [
 ]
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer file of the queries; installed beside Python on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -32,6 +39,11 @@ def op2_url_automaton(spark, sf_dir):
     return urlglob.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
+def op5_tree_bpe(spark, sf_dir):
+    ids = bpe.encode_texts(documents(spark, sf_dir), tokenizer_path())
+    return bpe.token_report(ids, tokenizer_path())
+
+
 def op6_hilbert_shards(spark, sf_dir):
     placed = hilbert.hilbert_shards(documents(spark, sf_dir), shards=8)
     return placed.select(
@@ -47,6 +59,10 @@ def op8_tree_exact_dedup(spark, sf_dir):
     return exactdup.exact_groups(documents(spark, sf_dir), keep="max")
 
 
+def op9_pigeonhole_decontam(spark, sf_dir):
+    return decontam.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_pii_spans(spark, sf_dir):
     return pii.pii_report(documents(spark, sf_dir))
 
@@ -84,9 +100,11 @@ def queries() -> dict[str, Query]:
     return {
         "op1_hd_langid": op1_hd_langid,
         "op2_url_automaton": op2_url_automaton,
+        "op5_tree_bpe": op5_tree_bpe,
         "op6_hilbert_shards": op6_hilbert_shards,
         "op7_markov_secrets": op7_markov_secrets,
         "op8_tree_exact_dedup": op8_tree_exact_dedup,
+        "op9_pigeonhole_decontam": op9_pigeonhole_decontam,
         "op10_pii_spans": op10_pii_spans,
     }
 
