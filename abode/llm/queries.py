@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abode.llm import bpe, decontam, exactdup, hilbert, langid, markov, pii, urlglob
+from abode.llm import bpe, decontam, exactdup, hilbert, langid, markov, neardup, pii, urlglob
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op2_url_automaton(spark, sf_dir):
     return urlglob.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
+def op4_fss_near_dedup(spark, sf_dir):
+    return neardup.near_groups(documents(spark, sf_dir))
+
+
 def op5_tree_bpe(spark, sf_dir):
     ids = bpe.encode_texts(documents(spark, sf_dir), tokenizer_path())
     return bpe.token_report(ids, tokenizer_path())
@@ -85,6 +89,26 @@ SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdic
 FROM parts p LEFT JOIN best b ON p.r = b.r AND b.k = 1
 """
 
+OP4_SQL = """
+WITH RECURSIVE
+w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+           ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i+4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM s p JOIN s q ON p.g = q.g AND p.doc_id <> q.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, comp.component_id, w.doc_id = comp.component_id AS kept
+FROM w JOIN comp USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
 OP8_SQL = """
 WITH t AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h FROM documents),
@@ -100,6 +124,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_hd_langid": op1_hd_langid,
         "op2_url_automaton": op2_url_automaton,
+        "op4_fss_near_dedup": op4_fss_near_dedup,
         "op5_tree_bpe": op5_tree_bpe,
         "op6_hilbert_shards": op6_hilbert_shards,
         "op7_markov_secrets": op7_markov_secrets,
@@ -110,4 +135,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_automaton": OP2_SQL, "op8_tree_exact_dedup": OP8_SQL}
+    return {"op4_fss_near_dedup": OP4_SQL, "op2_url_automaton": OP2_SQL, "op8_tree_exact_dedup": OP8_SQL}
