@@ -10,9 +10,10 @@ agree in a coordinate with the probability of their Jaccard similarity.
 
 Coordinates form bands; documents that share a band are candidates. Documents
 with equal sets are one class from the start, so copies make no pairs. In each
-band's bucket all classes are compared with the bucket's first; after that,
-only classes of a bucket that are not connected yet are compared with each
-other. Every comparison counts whole shingle sets.
+band's bucket all classes are compared with the bucket's first; classes of a
+bucket that are not connected then are compared with each other where their
+rarest shingles allow the threshold (:func:`rare_pairs`). Every comparison
+counts whole shingle sets.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections import OrderedDict
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from abode.llm.batches import map_batches
@@ -126,6 +127,42 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return map_batches(both, work, schema).distinct()
 
 
+def rare_pairs(docs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of ``docs`` (``rep, n, label``) with different labels that can reach ``percent``; none that does is left out.
+
+    Used for documents whose buckets stay mixed, as those that share a long
+    common passage do: pairs of them by bucket would grow with the square of the
+    bucket. Each set is ordered by how many sets hold a shingle, rare ones
+    first. Two sets of enough overlap share one of the first
+    ``n - ceil(share * n) + 1`` shingles, at positions that leave room for the
+    overlap. A common passage stands last and joins nothing. Within a shingle,
+    the most frequent label isn't compared with itself.
+    """
+    schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("label", pa.int64()), ("g", pa.int64())])
+
+    def spread(batch: pa.RecordBatch) -> dict:
+        sets = [shingles(t) for t in batch.column(3).to_pylist()]
+        sizes = [len(s) for s in sets]
+        out = {c: np.repeat(batch.column(i).to_numpy(), sizes) for i, c in enumerate(("rep", "n", "label"))}
+        return out | {"g": np.concatenate([*sets, np.empty(0, dtype=U)]).view(np.int64)}
+
+    whole = docs.join(texts.withColumnRenamed("id", "rep"), "rep").dropDuplicates(["rep"])
+    grams = materialize(map_batches(whole.select("rep", "n", "label", "text"), spread, schema))
+    often = materialize(grams.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    order = Window.partitionBy("rep").orderBy(F.coalesce("df", F.lit(1)), "g")
+    ranked = grams.join(often, "g", "left").withColumn("p", F.row_number().over(order))
+    head = materialize(ranked.where(f"df > 1 and p <= n - ceil({percent} * n / 100) + 1").select("g", "rep", "n", "label", "p"))
+    votes = head.groupBy("g", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("g")
+    major = votes.agg(F.max(F.struct("c", "label")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    head = materialize(head.join(major.select("g", F.col("m.label").alias("major")), "g"))
+    other = head.select("g", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "label", "p")])
+    found = head.where("label <> major").join(other, "g").where(
+        f"label <> label2 and (label2 = major or label < label2) and 100 * least(n, n2) >= {percent} * greatest(n, n2) "
+        f"and (100 + {percent}) * (1 + least(n - p, n2 - p2)) >= {percent} * (n + n2)"
+    )
+    return found.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+
+
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per input row: ``<id_col>, n_shingles, component_id, kept``.
 
@@ -160,11 +197,8 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     placed = keys.join(centres.where("size > 2").select("key"), "key").join(known, "rep", "left")
     placed = materialize(placed.select("key", "rep", "n", F.coalesce("label", "rep").alias("label")))
     apart = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    mixed = materialize(placed.join(apart, "key"))
-    other = mixed.select("key", F.col("rep").alias("rep2"), F.col("n").alias("m"), F.col("label").alias("label2"))
-    rest = mixed.join(other, "key").where(f"label < label2 and {fits}")
-    rest = rest.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
-    rest = materialize(rest.join(star, ["a", "b"], "left_anti"))
+    mixed = placed.join(apart, "key").select("rep", "n", "label").distinct()
+    rest = materialize(rare_pairs(mixed, texts, percent).join(star, ["a", "b"], "left_anti"))
     more = materialize(verify(rest, texts, percent))
     labels = components(links.unionByName(more))
 

@@ -94,10 +94,10 @@ WITH RECURSIVE
 w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+           '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-           ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i+4], ' ')) END) AS g FROM w),
+           ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 shared AS (
   SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM s p JOIN s q ON p.g = q.g AND p.doc_id <> q.doc_id GROUP BY 1, 2),
