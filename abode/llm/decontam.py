@@ -68,14 +68,15 @@ def ancestors(n: int, k: int) -> list[list[tuple[int, int, int]]]:
     return out
 
 
-def masks(pattern: str) -> dict[str, int]:
-    out: dict[str, int] = {}
+def masks(pattern) -> dict:
+    """Bit positions of each character of a string, or of each element of a list."""
+    out: dict = {}
     for i, c in enumerate(pattern):
         out[c] = out.get(c, 0) | 1 << i
     return out
 
 
-def distances(peq: dict[str, int], n: int, text: str, anchored: bool = False):
+def distances(peq: dict, n: int, text, anchored: bool = False):
     """Myers' algorithm: after each character of ``text``, the least edit distance of the
     pattern to a substring that ends there (or, ``anchored``, to the whole text so far)."""
     full, top = (1 << n) - 1, 1 << (n - 1)

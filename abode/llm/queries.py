@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abode.llm import bpe, decontam, exactdup, hilbert, langid, markov, neardup, pii, urlglob
+from abode.llm import bpe, decontam, exactdup, hilbert, langid, markov, neardup, passages, pii, urlglob
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op2_url_automaton(spark, sf_dir):
     return urlglob.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
+def op3_chained_passages(spark, sf_dir):
+    return passages.shared_passages(documents(spark, sf_dir))
+
+
 def op4_fss_near_dedup(spark, sf_dir):
     return neardup.near_groups(documents(spark, sf_dir))
 
@@ -124,6 +128,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_hd_langid": op1_hd_langid,
         "op2_url_automaton": op2_url_automaton,
+        "op3_chained_passages": op3_chained_passages,
         "op4_fss_near_dedup": op4_fss_near_dedup,
         "op5_tree_bpe": op5_tree_bpe,
         "op6_hilbert_shards": op6_hilbert_shards,
