@@ -242,11 +242,14 @@ def drop_leaks(
 ) -> DataFrame:
     """``df`` without the rows in whose text an item was found."""
     for packed in blocks(benchmark, item_col, item_text_col, rate):
+        df = df.where(_clean(packed)(F.col(text_col)))
+    return df
 
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, packed: bytes = packed) -> pd.Series:
-            own = matcher(packed)
-            return pd.Series([not (t and own.find(normal(t))) for t in texts])
 
-        df = df.where(clean(F.col(text_col)))
-    return df
+def _clean(packed: bytes):
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        own = matcher(packed)
+        return pd.Series([not (t and own.find(normal(t))) for t in texts])
+
+    return clean
