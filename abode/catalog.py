@@ -136,7 +136,7 @@ def _sql_compare(bin_col: str, order_sql: str):
             ORDER BY {order_sql}
             """,
             args={"address": SELECTED_ADDRESS},
-            listings=stored_listings(spark, sf_dir),
+            listings=listings(spark, sf_dir),
         )
 
     return run
@@ -249,6 +249,39 @@ def q_upsert_price(spark, sf_dir):
     return snapshot.upsert_price(table, delta)
 
 
+def q_insert_ignore_split_city(spark, sf_dir):
+    """A batch without source ids in which every third address is spelled by
+    another split into street and city, some with a null age."""
+    current, batch = current_and_batch(spark, sf_dir)
+    known = current.select(
+        F.col("street_number"),
+        F.concat("street_name", F.lit(", "), "city").alias("street_name"),
+        F.lit("").alias("city"),
+        F.col("address"),
+        F.when(F.col("listing_id") % 2 == 0, F.col("age")).alias("age"),
+        *[c for c in current.columns if c not in ("listing_id", "street_number", "street_name", "city", "address", "age")],
+    ).where("listing_id % 3 = 0")
+    twins = batch.drop("source_id").withColumn("age", F.lit(None).cast("int"))
+    rows = batch.drop("source_id").unionByName(twins).unionByName(known)
+    added = snapshot.insert_ignore(current, rows)
+    return added.select("address", "city", "age", "listing_price")
+
+
+def q_snapshot_by_city_roundtrip(spark, sf_dir):
+    """Listings written by city and read back, with empty and null cities among them."""
+    city = F.when(F.col("listing_id") % 7 == 0, F.lit("")).when(F.col("listing_id") % 7 != 1, F.col("city"))
+    table = listings(spark, sf_dir).withColumn("city", city)
+    return store(spark, table, "by_city", partition_by_city=True).select(*LISTING_COLUMNS)
+
+
+def q_upsert_price_repeated_ids(spark, sf_dir):
+    """Every repriced id twice in the delta; the greatest price counts."""
+    table = stored_listings(spark, sf_dir)
+    delta = churn.reprice_sample(table, UPDATE_SEED, PCT)
+    cheaper = delta.withColumn("listing_price", (F.col("listing_price") - 1).cast(PRICE_TYPE))
+    return snapshot.upsert_price(table, _with_unknown_id(table, delta.unionByName(cheaper), UNKNOWN_PRICE))
+
+
 def q_full_batch_run(spark, sf_dir):
     current, raw_batch = current_and_raw_batch(spark, sf_dir)
     config = RunConfig(DELETE_SEED, UPDATE_SEED, Decimal(PCT), Decimal(PCT))
@@ -282,11 +315,11 @@ def queries() -> dict[str, Query]:
         "photoset_bucket": _on_listings(reports.photoset_bucket),
         "address_options": _on_listings(reports.address_options),
         "address_search": _on_listings(reports.address_search, SEARCH_TERM),
-        "similar_listings": _on_stored(reports.similar_listings, SELECTED_ADDRESS),
-        "compare_by_sqft": _on_stored(reports.compare_by_sqft, SELECTED_ADDRESS),
-        "compare_by_age": _on_stored(reports.compare_by_age, SELECTED_ADDRESS),
-        "overlay_by_sqft": _on_stored(reports.overlay_by_sqft, SELECTED_ADDRESS),
-        "overlay_by_age": _on_stored(reports.overlay_by_age, SELECTED_ADDRESS),
+        "similar_listings": _on_listings(reports.similar_listings, SELECTED_ADDRESS),
+        "compare_by_sqft": _on_listings(reports.compare_by_sqft, SELECTED_ADDRESS),
+        "compare_by_age": _on_listings(reports.compare_by_age, SELECTED_ADDRESS),
+        "overlay_by_sqft": _on_listings(reports.overlay_by_sqft, SELECTED_ADDRESS),
+        "overlay_by_age": _on_listings(reports.overlay_by_age, SELECTED_ADDRESS),
         "price_vs_sqft_peers": _on_stored(reports.price_vs_sqft_peers),
         "price_vs_age_peers": _on_stored(reports.price_vs_age_peers),
         "insert_ignore": q_insert_ignore,
@@ -298,6 +331,9 @@ def queries() -> dict[str, Query]:
         "reprice_sample": _on_stored(churn.reprice_sample, UPDATE_SEED, PCT),
         "upsert_price": q_upsert_price,
         "apply_churn_update": _on_stored(churn.apply_churn_update, UPDATE_SEED, PCT),
+        "insert_ignore_split_city": q_insert_ignore_split_city,
+        "snapshot_by_city_roundtrip": q_snapshot_by_city_roundtrip,
+        "upsert_price_repeated_ids": q_upsert_price_repeated_ids,
         "full_batch_run": q_full_batch_run,
     }
 

@@ -45,9 +45,10 @@ def sample_size(n: int, pct: Share) -> int:
 
 
 def sample_size_frame(table: DataFrame, pct: Share) -> DataFrame:
-    """One row ``(n, pct, k)`` computed as a Spark aggregate."""
+    """One row ``(n, pct, k)`` computed as a Spark aggregate; ``n`` counts the
+    rows that have an id, which are the rows a sample draws from."""
     p = F.lit(Decimal(str(pct)))
-    n = F.count(F.lit(1))
+    n = F.count("listing_id")
     return table.agg(
         n.alias("n"),
         p.alias("pct"),
@@ -95,6 +96,16 @@ def _scope(table: DataFrame, seed: int, key: str) -> DataFrame:
     )
 
 
+def _refuse_repeats(scope: DataFrame, key: str) -> None:
+    """Raise if a key occurs twice in the boundary bucket: a cut there could not take exactly ``k`` rows.
+
+    All rows of a key share its hash, so they are all in the bucket.
+    """
+    twice = scope.groupBy("_k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(1)
+    if twice:
+        raise ValueError(f"{key} {twice[0]['_k']} occurs {twice[0]['n']} times; a sample needs unique keys")
+
+
 def _resolve(scope: DataFrame, hist, prefix_len: int, k: int, seed: int, key: str) -> SampleCut:
     """Walk the histograms down to the k-th smallest (hash, key) pair."""
     remaining = k
@@ -104,7 +115,8 @@ def _resolve(scope: DataFrame, hist, prefix_len: int, k: int, seed: int, key: st
         i = int(np.searchsorted(running, remaining))  # first bucket reaching k
         remaining -= int(running[i] - counts[i])
         scope = scope.filter(F.substring("_h", 1, prefix_len) == F.lit(prefixes[i]))
-        if counts[i] <= BOUNDARY_MAX_ROWS:
+        if counts[i] <= BOUNDARY_MAX_ROWS or prefix_len >= 32:
+            _refuse_repeats(scope, key)
             last = (
                 scope.orderBy("_h", "_k")
                 .limit(int(remaining))
@@ -112,12 +124,6 @@ def _resolve(scope: DataFrame, hist, prefix_len: int, k: int, seed: int, key: st
                 .collect()[0]["m"]
             )
             return SampleCut(last["_h"], last["_k"], seed, key)
-        if prefix_len >= 32:
-            # a whole digest shared by more rows than the bound: the same key
-            # repeated. Ids are a unique key, so this only happens on bad
-            # input; cut at that key rather than ordering an unbounded group.
-            key_value = scope.agg(F.min("_k")).collect()[0][0]
-            return SampleCut(prefixes[i], key_value, seed, key)
         prefix_len = min(32, prefix_len + PREFIX_STEP)
         hist = _histogram(scope, prefix_len)
 
@@ -139,8 +145,9 @@ def find_cut(table: DataFrame, seed: int, k: int, key: str = "listing_id") -> Sa
     groups), finds the bucket where the running count reaches ``k``, and
     narrows the search to that bucket. md5 spreads unique keys evenly, so one
     level suffices up to ~10^10 rows and each extra level divides the
-    boundary by 65,536. The last bucket is resolved by a top-k bounded by
-    ``BOUNDARY_MAX_ROWS``.
+    boundary by 65,536. The last bucket is resolved by a top-k of at most
+    ``BOUNDARY_MAX_ROWS`` rows. Keys must be unique; a repeated one at the
+    boundary raises.
     """
     if k <= 0:
         return SampleCut(None, None, seed, key)

@@ -33,35 +33,40 @@ def default_order(batch: DataFrame) -> list[str]:
 def dedup_by_address(batch: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Keep, per address, the row that sorts first on ``order_by``.
 
-    ``min(struct(order..., rest...))`` per address is a plain aggregate, so a
-    hot address is collapsed by the map-side partial aggregate before the
-    shuffle instead of landing in one task as a window partition would.
-    Rows with a null address never conflict: each gets a group of its own
-    (keyed by a row id that is null for every non-null address), so the
-    input is read once.
+    The minimum of a struct per address is a plain aggregate, so a hot address
+    is collapsed by the map-side partial aggregate before the shuffle instead
+    of landing in one task as a window partition would. Nulls sort last, as
+    they do when new rows are numbered. Rows with a null address never
+    conflict; they bypass the aggregate.
     """
     order = list(order_by or default_order(batch))
-    rest = [c for c in batch.columns if c not in order and c != "address"]
-    return (
-        batch.withColumn(
-            "_lone", F.when(F.col("address").isNull(), F.monotonically_increasing_id())
-        )
-        .groupBy("address", "_lone")
-        .agg(F.min(F.struct(*order, *rest)).alias("_w"))
+    ranked = [*order, *(c for c in batch.columns if c not in order and c != "address")]
+    key = [x for c in ranked for x in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))]
+    named = (
+        batch.where(F.col("address").isNotNull())
+        .groupBy("address")
+        .agg(F.min(F.struct(*key)).alias("_w"))
         .select("address", "_w.*")
         .select(*batch.columns)
     )
+    return named.unionByName(batch.where(F.col("address").isNull()))
 
 
 def to_listings(enriched: DataFrame, id_col: str = "source_id") -> DataFrame:
     """Listings table from an enriched batch: first row per address, id = tie-break.
 
     ``id_col`` becomes ``listing_id``, so it must be unique and non-null.
-    One pass of :func:`dedup_by_address`: because the aggregate is grouped
-    by address, a filter on ``address`` above this (a point lookup) is pushed
-    below the aggregate and the dedup only touches that address's rows.
+    The least id per address is a hash aggregate over two columns; a semi join
+    on (address, id) then picks the rows. Column pruning passes through, and a
+    filter on ``address`` above this (a point lookup) reaches both sides.
+    Rows with a null address never conflict and all stay.
     """
-    unique = dedup_by_address(enriched, [id_col])
+    named = enriched.where(F.col("address").isNotNull())
+    first = named.groupBy(F.col("address").alias("_address")).agg(F.min(id_col).alias("_id"))
+    winners = named.join(
+        first, (F.col("address") == F.col("_address")) & (F.col(id_col) == F.col("_id")), "left_semi"
+    )
+    unique = winners.unionByName(enriched.where(F.col("address").isNull()))
     return unique.withColumn("listing_id", F.col(id_col).cast("bigint")).select(*LISTING_COLUMNS)
 
 
@@ -127,23 +132,20 @@ def new_listings(
 
     The batch is normally much smaller than the table. When its distinct
     addresses pass the broadcast bound, conflicts are found by a map-only
-    semi join of the table's (city, address) columns against the broadcast
-    batch keys, so the table is never shuffled; above the bound it is a
-    shuffled anti join.
+    semi join of the table's address column against the broadcast batch keys,
+    so the table is never shuffled; above the bound it is a shuffled anti
+    join. The address alone decides: one address can be spelled by several
+    splits into street and city.
     """
     order = list(order_by or default_order(batch))
     unique = materialize(dedup_by_address(batch, order))
     n_unique = unique.count()
-    # An address ends with its city, so matching on (city, address) is the
-    # same as matching on address; with a city-partitioned snapshot the city
-    # key lets dynamic partition pruning skip cities the batch does not touch.
-    keys = ["city", "address"]
-    batch_keys = unique.select(*keys).filter(F.col("address").isNotNull())
-    if fits_broadcast(n_unique, batch_keys.schema):
-        taken = current.select(*keys).join(F.broadcast(batch_keys), keys, "left_semi")
-        fresh = unique.join(F.broadcast(taken), keys, "left_anti")
-    else:
-        fresh = unique.join(current.select(*keys), keys, "left_anti")
+    batch_keys = unique.select("address").filter(F.col("address").isNotNull())
+    taken = current.select("address")
+    if fits_broadcast(batch_keys):
+        # at most as many addresses as the measured batch holds
+        taken = F.broadcast(taken.join(F.broadcast(batch_keys), "address", "left_semi").distinct())
+    fresh = unique.join(taken, "address", "left_anti")
     # size the range partitioning to the batch, not to the cluster default
     cap = int(unique.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(cap, -(-n_unique // ROWS_PER_ID_PARTITION)))
@@ -177,16 +179,19 @@ def delete_by_key(table: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def upsert_price(table: DataFrame, delta: DataFrame) -> DataFrame:
-    """Set ``listing_price`` from ``delta`` (unique ``listing_id``).
+    """Set ``listing_price`` from ``delta``.
 
     Matching rows get the new price and keep everything else; an id not in
-    the table becomes a new row holding only id and price.
+    the table becomes a new row holding only id and price. If an id occurs
+    several times in ``delta``, its greatest price counts; a null id in
+    ``delta`` is an error, raised when the result is computed.
 
     A delta under the broadcast bound is applied without shuffling the table:
     a broadcast left join replaces prices, and a broadcast semi join finds
     which delta ids matched. Above the bound it is a full outer join.
     """
-    delta = delta.select("listing_id", F.col("listing_price").cast(PRICE_TYPE).alias("_new_price"))
+    known = F.coalesce(F.col("listing_id"), F.raise_error(F.lit("null listing_id in a price delta")).cast("bigint"))
+    delta = delta.groupBy(known.alias("listing_id")).agg(F.max(F.col("listing_price").cast(PRICE_TYPE)).alias("_new_price"))
     delta_side, small = bounded_broadcast(delta)
     cols = [c for c in LISTING_COLUMNS if c not in ("listing_id", "listing_price")]
     new_price = F.coalesce(F.col("_new_price"), F.col("listing_price")).alias("listing_price")
@@ -198,7 +203,8 @@ def upsert_price(table: DataFrame, delta: DataFrame) -> DataFrame:
         .join(delta_side, "listing_id", "left")
         .select("listing_id", *cols, new_price)
     )
-    matched = table.select("listing_id").join(delta_side, "listing_id", "left_semi")
+    # at most as many ids as the measured delta holds, so no larger to broadcast
+    matched = table.select("listing_id").join(delta_side, "listing_id", "left_semi").distinct()
     unknown = delta_side.join(F.broadcast(matched), "listing_id", "left_anti")
     new_rows = unknown.select(
         "listing_id",

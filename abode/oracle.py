@@ -10,7 +10,6 @@ both sides state them once.
 
 from __future__ import annotations
 
-from abode import functions as AF
 from abode.params import (
     AS_OF,
     BATCH_SINCE,
@@ -28,20 +27,18 @@ def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _bins_sql(col: str, bins, last: str) -> str:
-    whens = " ".join(f"WHEN {col} < {bound} THEN {_q(label)}" for bound, label in bins)
-    return f"CASE {whens} ELSE {_q(last)} END"
-
-
 RATE_SQL = (
-    f"CASE WHEN property_type = 'semi-detached' THEN {AF.RATE_SEMI_DETACHED} "
-    f"WHEN property_type = 'single-detached' THEN {AF.RATE_SINGLE_DETACHED} "
-    f"ELSE {AF.RATE_OTHER} END"
+    f"CASE WHEN property_type = 'semi-detached' THEN 487 "
+    f"WHEN property_type = 'single-detached' THEN 512 "
+    f"ELSE 472 END"
 )
 ADDRESS_SQL = "CAST(street_number AS STRING) || ' ' || street_name || ', ' || city"
 PRICE_SQL = f"CAST(sqft * {RATE_SQL} AS DECIMAL(12,2))"
-SQFT_RANGE_SQL = _bins_sql("sqft", AF.SQFT_BINS, AF.SQFT_LAST)
-AGE_RANGE_SQL = _bins_sql("age", AF.AGE_BINS, AF.AGE_LAST)
+SQFT_RANGE_SQL = "CASE WHEN sqft < 1500 THEN '0-1499' WHEN sqft < 2000 THEN '1500-1999' ELSE '2000-2499' END"
+AGE_RANGE_SQL = (
+    "CASE WHEN age < 6 THEN '0-5' WHEN age < 11 THEN '6-10' WHEN age < 16 THEN '11-15' "
+    "WHEN age < 21 THEN '16-20' WHEN age < 26 THEN '21-25' ELSE '26+' END"
+)
 AVG_SQL = "CAST(sum(listing_price) AS DOUBLE) / count(listing_price)"
 RAW_COLS = (
     "source_id, street_number, street_name, city, age, sqft, finished_basement, "
@@ -62,8 +59,10 @@ def _sample_hash(seed: int, key: str = "listing_id") -> str:
 
 def _factor(seed: int, key: str = "listing_id") -> str:
     bucket = _hex_bucket(f"'{seed}:factor:' || CAST({key} AS STRING)", 8)
-    whens = " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(AF.REPRICE_FACTORS))
-    return f"CAST(CASE {bucket} {whens} END AS DECIMAL(3,2))"
+    return (
+        f"CAST(CASE {bucket} WHEN 0 THEN 0.97 WHEN 1 THEN 0.98 WHEN 2 THEN 0.98 WHEN 3 THEN 0.99 "
+        "WHEN 4 THEN 1.01 WHEN 5 THEN 1.02 WHEN 6 THEN 1.02 WHEN 7 THEN 1.03 END AS DECIMAL(3,2))"
+    )
 
 
 def _new_price(seed: int) -> str:
@@ -74,7 +73,7 @@ def _sample_keys(table: str, seed: int, pct) -> str:
     return (
         f"SELECT listing_id FROM {table} WHERE listing_id IS NOT NULL "
         f"ORDER BY {_sample_hash(seed)}, listing_id "
-        f"LIMIT (SELECT CAST(round_even(count(*) * {pct}, 0) AS BIGINT) FROM {table})"
+        f"LIMIT (SELECT CAST(round_even(count(listing_id) * {pct}, 0) AS BIGINT) FROM {table})"
     )
 
 
@@ -218,10 +217,22 @@ BOOL_TEXT_SQL = (
 ENRICHED_SELECT = f"SELECT {ENRICHED_COLS} FROM enriched"
 
 
+UNKNOWN_ID_SQL = "(SELECT max(listing_id) + 1 FROM listings)"
+UPSERT_SQL = f""",
+delta AS (
+  SELECT listing_id, {_new_price(UPDATE_SEED)} AS new_price FROM listings
+  WHERE listing_id IN ({_sample_keys('listings', UPDATE_SEED, PCT)})
+  UNION ALL SELECT {UNKNOWN_ID_SQL}, CAST({UNKNOWN_PRICE} AS DECIMAL(12,2))
+)
+SELECT COALESCE(l.listing_id, d.listing_id) AS listing_id,
+       {', '.join('l.' + c for c in LISTING_COLUMNS[1:] if c != 'listing_price')},
+       COALESCE(d.new_price, l.listing_price) AS listing_price
+FROM listings l FULL OUTER JOIN delta d ON l.listing_id = d.listing_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     churn_listings = _churn_ctes("listings", "l")
     full_run = BASE + INSERT_CTES + _churn_ctes("inserted", "r")
-    unknown_id = "(SELECT max(listing_id) + 1 FROM listings)"
     return {
         # sources and sinks
         "scan_raw_jsonl": f"{BASE}\n{ENRICHED_SELECT}",
@@ -268,28 +279,33 @@ def oracle_sql() -> dict[str, str]:
         "price_vs_age_peers": _peers("age_range"),
         # snapshot changes and churn
         "insert_ignore": BASE + INSERT_CTES + f"\nSELECT {LCOLS} FROM inserted",
-        "churn_sample_size": f"{BASE}\nSELECT count(*) AS n, CAST({PCT} AS DECIMAL(3,2)) AS pct, "
-        f"CAST(round_even(count(*) * {PCT}, 0) AS BIGINT) AS k FROM listings",
+        "insert_ignore_split_city": BASE + INSERT_CTES + f""",
+late AS (SELECT * FROM enriched WHERE NOT {_OLDER}),
+offered AS (SELECT * FROM late UNION ALL SELECT * REPLACE (CAST(NULL AS INTEGER) AS age) FROM late WHERE address IS NULL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY address ORDER BY street_number NULLS LAST, street_name NULLS LAST,
+    city NULLS LAST, age NULLS LAST, sqft NULLS LAST, finished_basement NULLS LAST, number_bedrooms NULLS LAST,
+    list_date NULLS LAST, property_type NULLS LAST) AS k FROM offered
+)
+SELECT address, city, age, listing_price FROM cur
+UNION ALL
+SELECT address, city, age, listing_price FROM ranked
+WHERE address IS NULL OR (k = 1 AND address NOT IN (SELECT address FROM cur WHERE address IS NOT NULL))""",
+        "snapshot_by_city_roundtrip": f"{BASE}\nSELECT * REPLACE (CASE listing_id % 7 WHEN 0 THEN '' "
+        f"WHEN 1 THEN NULL ELSE city END AS city) FROM (SELECT {LCOLS} FROM listings)",
+        "upsert_price_repeated_ids": BASE + UPSERT_SQL,
+        "churn_sample_size": f"{BASE}\nSELECT count(listing_id) AS n, CAST({PCT} AS DECIMAL(3,2)) AS pct, "
+        f"CAST(round_even(count(listing_id) * {PCT}, 0) AS BIGINT) AS k FROM listings",
         "churn_delete_keys": f"{BASE}\n{_sample_keys('listings', DELETE_SEED, PCT)}",
         "churn_delete_rows": f"{BASE}\nSELECT {LCOLS} FROM listings WHERE listing_id IN "
         f"({_sample_keys('listings', DELETE_SEED, PCT)})",
         "delete_by_key": f"{BASE}\nSELECT {LCOLS} FROM listings WHERE listing_id NOT IN "
         f"(SELECT listing_id FROM ({_sample_keys('listings', DELETE_SEED, PCT)}) k "
-        f"UNION ALL SELECT {unknown_id})",
+        f"UNION ALL SELECT {UNKNOWN_ID_SQL})",
         "apply_churn_delete": BASE + churn_listings + f"\nSELECT {LCOLS} FROM l_deleted",
         "reprice_sample": f"{BASE}\nSELECT listing_id, {_new_price(UPDATE_SEED)} AS listing_price "
         f"FROM listings WHERE listing_id IN ({_sample_keys('listings', UPDATE_SEED, PCT)})",
-        "upsert_price": BASE
-        + f""",
-delta AS (
-  SELECT listing_id, {_new_price(UPDATE_SEED)} AS new_price FROM listings
-  WHERE listing_id IN ({_sample_keys('listings', UPDATE_SEED, PCT)})
-  UNION ALL SELECT {unknown_id}, CAST({UNKNOWN_PRICE} AS DECIMAL(12,2))
-)
-SELECT COALESCE(l.listing_id, d.listing_id) AS listing_id,
-       {', '.join('l.' + c for c in LISTING_COLUMNS[1:] if c != 'listing_price')},
-       COALESCE(d.new_price, l.listing_price) AS listing_price
-FROM listings l FULL OUTER JOIN delta d ON l.listing_id = d.listing_id""",
+        "upsert_price": BASE + UPSERT_SQL,
         "apply_churn_update": BASE
         + f""",
 upd_keys AS ({_sample_keys('listings', UPDATE_SEED, PCT)})

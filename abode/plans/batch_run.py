@@ -8,9 +8,13 @@ transform; the run produces one snapshot, written once to a new path by
 
 from __future__ import annotations
 
+import os
+import posixpath
 from dataclasses import dataclass
 from decimal import Decimal
+from urllib.parse import urlsplit
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +26,7 @@ from abode.schemas import LISTING_COLUMNS
 from abode.sinks import write_snapshot
 from abode.sources.files import read_raw_jsonl, read_snapshot
 
-MARK_DIR = "_id_mark"  # beside the snapshot's data files; ignored by Parquet readers
+MARK_SUFFIX = ".id_mark"  # the mark stands beside the snapshot's folder and is there before it
 
 
 @dataclass(frozen=True)
@@ -108,12 +112,60 @@ def run_changes(
 
 
 def read_mark(spark: SparkSession, snapshot_path: str) -> int | None:
-    """The id mark stored next to a snapshot, or None if it has none."""
+    """The id mark stored next to a snapshot, or None if none was ever written.
+
+    A mark that is there but can't be read is an error: without it, ids of
+    deleted rows would be issued again.
+    """
+    row = _mark_row(spark, snapshot_path)
+    return None if row is None else int(row["id_mark"])
+
+
+def mark_writer(spark: SparkSession, snapshot_path: str) -> str | None:
+    """Who wrote a snapshot's mark (see :func:`write_mark`), or None without a mark."""
+    row = _mark_row(spark, snapshot_path)
+    return None if row is None else row["writer"]
+
+
+def _mark_row(spark: SparkSession, snapshot_path: str):
     try:
-        row = spark.read.parquet(f"{snapshot_path.rstrip('/')}/{MARK_DIR}").collect()
-    except Exception:  # noqa: BLE001 - no mark stored yet
+        marks = spark.read.schema("id_mark bigint, writer string").parquet(snapshot_path.rstrip("/") + MARK_SUFFIX)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return int(row[0]["id_mark"]) if row else None
+    rows = marks.collect()
+    if len(rows) != 1 or rows[0]["id_mark"] is None:
+        raise RuntimeError(f"damaged id mark beside {snapshot_path}")
+    return rows[0]
+
+
+def write_mark(spark: SparkSession, snapshot_path: str, mark: int, writer: str = "run") -> None:
+    """Store the id mark. Called before the snapshot's data is written, so that
+    a snapshot never stands without its mark, wherever a run breaks off."""
+    row = spark.range(1).select(F.lit(mark).cast("bigint").alias("id_mark"), F.lit(writer).alias("writer"))
+    row.write.mode("overwrite").parquet(snapshot_path.rstrip("/") + MARK_SUFFIX)
+
+
+def same_path(a: str, b: str) -> bool:
+    """Whether two paths name one place: ``file:`` and repeated slashes, ``.`` and ``..`` don't matter."""
+
+    def plain(path: str) -> tuple[str, str, str]:
+        parts = urlsplit(path)
+        scheme = "" if parts.scheme == "file" else parts.scheme
+        return scheme, parts.netloc, posixpath.normpath("/" + parts.path) if scheme else os.path.abspath(parts.path)
+
+    return plain(a) == plain(b)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def write_run(
@@ -130,20 +182,21 @@ def write_run(
 
     The id mark (largest id ever issued) is stored next to the data so ids of
     deleted rows are never issued again. With ``archive_out`` the enriched
-    batch is also kept as a Parquet archive (written once, never overwritten).
+    batch is also kept as a Parquet archive. ``mode`` holds for both outputs, so
+    a retry with ``mode="overwrite"`` can repeat a run that broke off anywhere.
     Returns the new mark.
     """
-    if snapshot_out.rstrip("/") == snapshot_in.rstrip("/"):
+    if same_path(snapshot_out, snapshot_in):
         raise ValueError("a run must write a new snapshot path, not the one it reads")
     current = read_snapshot(spark, snapshot_in)
     stored = read_mark(spark, snapshot_in)
     mark = stored if stored is not None else high_water_mark(current)
     raw_batch = read_raw_jsonl(spark, batch_path)
     if archive_out:
-        write_snapshot(enrich(raw_batch), archive_out, sort_by_address=False)
+        write_snapshot(enrich(raw_batch), archive_out, sort_by_address=False, mode=mode)
     result, new_mark = run_batch(current, raw_batch, mark, config)
+    if mode == "errorifexists" and path_exists(spark, snapshot_out):
+        raise FileExistsError(f"{snapshot_out} exists; a run writes a new path, or repeats one with mode='overwrite'")
+    write_mark(spark, snapshot_out, new_mark)
     write_snapshot(result, snapshot_out, partition_by_city=partition_by_city, mode=mode)
-    spark.range(1).select(F.lit(new_mark).cast("bigint").alias("id_mark")).write.mode(
-        "overwrite"
-    ).parquet(f"{snapshot_out.rstrip('/')}/{MARK_DIR}")
     return new_mark

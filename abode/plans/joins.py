@@ -8,18 +8,18 @@ from pyspark.sql import types as T
 
 from abode.plans.materialize import materialize
 
-# Largest side (estimated bytes: rows x schema width) shipped to every
+# Largest side (measured bytes: fixed widths plus actual string lengths) shipped to every
 # executor. Above it the join is a shuffle join with AQE skew splitting.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def row_width(schema: T.StructType) -> int:
-    """Rough in-memory bytes per row (strings counted as 32 bytes)."""
+    """In-memory bytes per row without the characters of its strings."""
     width = 8
     for field in schema.fields:
         t = field.dataType
         if isinstance(t, T.StringType):
-            width += 32
+            width += 16
         elif isinstance(t, T.DecimalType):
             width += 8 if t.precision <= 18 else 16
         elif isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
@@ -33,19 +33,25 @@ def row_width(schema: T.StructType) -> int:
     return width
 
 
-def fits_broadcast(rows: int, schema: T.StructType, max_bytes: int | None = None) -> bool:
-    limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    return rows * row_width(schema) <= limit
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows of ``df`` and their bytes, string lengths as they are; one aggregate."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    sums = [F.sum(F.coalesce(F.octet_length(c), F.lit(0))) for c in texts]
+    row = df.agg(F.count(F.lit(1)), *sums).collect()[0]
+    return row[0], row[0] * row_width(df.schema) + sum(v or 0 for v in row[1:])
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    return measure(df)[1] <= (BROADCAST_MAX_BYTES if max_bytes is None else max_bytes)
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
-    """Materialize ``df``, count it, and broadcast it only when small enough.
+    """Materialize ``df``, measure it, and broadcast it only when small enough.
 
-    Returns the (materialized) frame, hinted for broadcast when its row
-    count times its row width is at most ``max_bytes``, and whether the hint
-    was applied. Above the bound the frame is returned unhinted, so the join
+    Returns the (materialized) frame, hinted for broadcast when its measured
+    bytes are at most ``max_bytes``, and whether the hint was applied. Above the bound the frame is returned unhinted, so the join
     falls back to a shuffle join.
     """
     df = materialize(df)
-    small = fits_broadcast(df.count(), df.schema, max_bytes)
+    small = fits_broadcast(df, max_bytes)
     return (F.broadcast(df) if small else df), small

@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Folder column of city-partitioned snapshots. The city itself stays in the
+# files: as a folder name, an empty city would come back as null.
+CITY_PART = "city_part"
+
+
+def city_part(city: Column) -> Column:
+    """Folder of a city; null and empty cities have their own."""
+    return F.when(city.isNull(), "null").otherwise(F.concat(F.lit("="), city))
 
 
 def write_snapshot(
@@ -18,8 +28,8 @@ def write_snapshot(
     never overwrites the snapshot it read from. A scheduler retrying a failed
     run may pass ``mode="overwrite"`` for that run's own output path (never
     the input path: Spark cannot overwrite what it is reading). Partitioning
-    by city lets the comparison queries (which filter on one city) prune
-    folders.
+    by city (see ``CITY_PART``) lets readers of one city prune folders: see
+    ``read_snapshot``.
     Sorting each task's rows by address (no shuffle) gives every Parquet row
     group a narrow address range, so point lookups skip most row groups.
     """
@@ -27,13 +37,13 @@ def write_snapshot(
         # one shuffle so each city folder gets few, evenly sized files: AQE
         # splits a hot city across several tasks and merges small ones,
         # instead of every task writing a small file for every city
-        df = df.hint("rebalance", "city")
-    keys = (["city"] if partition_by_city else []) + (["address"] if sort_by_address else [])
+        df = df.withColumn(CITY_PART, city_part(F.col("city"))).hint("rebalance", CITY_PART)
+    keys = ([CITY_PART] if partition_by_city else []) + (["address"] if sort_by_address else [])
     if keys:
         df = df.sortWithinPartitions(*keys)
     writer = df.write.mode(mode)
     if partition_by_city:
-        writer = writer.partitionBy("city")
+        writer = writer.partitionBy(CITY_PART)
     writer.parquet(path)
 
 

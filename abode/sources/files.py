@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from abode.schemas import LISTINGS, RAW_JSON
+from abode.sinks import CITY_PART, city_part
 
 
 def read_raw_jsonl(
@@ -25,10 +27,18 @@ def read_raw_jsonl(
     return reader.schema(schema).json(path)
 
 
-def read_snapshot(spark: SparkSession, path: str, schema: T.StructType = LISTINGS) -> DataFrame:
+def read_snapshot(
+    spark: SparkSession, path: str, schema: T.StructType = LISTINGS, city: str | None = None
+) -> DataFrame:
     """Read a listings snapshot written by :func:`abode.sinks.write_snapshot`.
 
-    Filters on ``city`` prune whole folders when the snapshot was written
-    partitioned by city; other filters and the column list reach the scan.
+    With ``city`` only that city's rows are returned; if the snapshot was
+    written by city, only its folder is read. Other filters and the column list
+    reach the scan.
     """
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    table = spark.read.schema(schema).parquet(path)
+    if city is not None:
+        if CITY_PART in table.columns:
+            table = table.filter(F.col(CITY_PART) == city_part(F.lit(city)))
+        table = table.filter(F.col("city") == city)
+    return table.select(*schema.fieldNames())

@@ -9,7 +9,8 @@ since the last call and then stops, so a scheduler can call
 Each micro-batch runs :func:`abode.plans.batch_run.run_batch` against the
 previous snapshot version and writes version ``v=<epoch>``. The output path is
 a function of the epoch, so a re-executed epoch rewrites its own version and
-never the one it reads.
+never the one it reads. A stream with a new checkpoint would count epochs from 0
+again; it is refused where another checkpoint has written versions.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from abode.plans.batch_run import MARK_DIR, RunConfig, read_mark, run_batch
+from abode.plans.batch_run import RunConfig, mark_writer, read_mark, run_batch, write_mark
 from abode.schemas import LISTINGS, RAW_JSON
+from abode.sinks import write_snapshot
 from abode.sources.files import read_snapshot
 
 
@@ -35,7 +36,8 @@ class IngestConfig:
     update_seed: int = 89
     delete_pct: Decimal | str | float | None = None  # None: drawn per run from the run's seed
     update_pct: Decimal | str | float | None = None
-    max_files_per_trigger: int | None = None
+    max_files_per_trigger: int = 1  # one file, one run
+    partition_by_city: bool = False
 
 
 def version_path(root: str, epoch: int) -> str:
@@ -60,6 +62,9 @@ def _run_seed(base: int, epoch: int) -> int:
 def process_batch(cfg: IngestConfig):
     def handle(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
+        out, writer = version_path(cfg.snapshot_root, epoch), cfg.checkpoint_location.rstrip("/")
+        if mark_writer(spark, out) not in (None, writer):
+            raise RuntimeError(f"{out} was written by another checkpoint; use that one or a new snapshot_root")
         current, mark = _previous(spark, cfg, epoch)
         run_cfg = RunConfig(
             _run_seed(cfg.delete_seed, epoch),
@@ -68,12 +73,9 @@ def process_batch(cfg: IngestConfig):
             cfg.update_pct,
         )
         result, new_mark = run_batch(current, batch, mark, run_cfg)
-        out = version_path(cfg.snapshot_root, epoch)
         # overwrite only this epoch's own version: a retried epoch is idempotent
-        result.sortWithinPartitions("address").write.mode("overwrite").parquet(out)
-        spark.range(1).select(F.lit(new_mark).cast("bigint").alias("id_mark")).write.mode(
-            "overwrite"
-        ).parquet(f"{out}/{MARK_DIR}")
+        write_mark(spark, out, new_mark, writer)
+        write_snapshot(result, out, partition_by_city=cfg.partition_by_city, mode="overwrite")
 
     return handle
 
@@ -81,8 +83,7 @@ def process_batch(cfg: IngestConfig):
 def ingest_available(spark: SparkSession, cfg: IngestConfig) -> None:
     """Process every batch file that arrived since the previous call, then stop."""
     reader = spark.readStream.schema(RAW_JSON).option("mode", "FAILFAST")
-    if cfg.max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
+    reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
     query = (
         reader.json(cfg.landing_dir)
         .writeStream.foreachBatch(process_batch(cfg))

@@ -86,11 +86,15 @@ def test_empty_sample(spark):
     assert table.filter(churn.find_cut(table, 1, 99).predicate()).count() == 16
 
 
-def test_repeated_key_keeps_the_cut_bounded(spark, monkeypatch):
-    # bad input: one id repeated; the boundary cannot be narrowed by hashing
-    monkeypatch.setattr(churn, "BOUNDARY_MAX_ROWS", 5)
+@pytest.mark.parametrize("bound", [5, 200_000])
+def test_repeated_key_at_the_boundary_raises(spark, monkeypatch, bound):
+    monkeypatch.setattr(churn, "BOUNDARY_MAX_ROWS", bound)
     df = spark.createDataFrame([(7,)] * 50 + [(i,) for i in range(100, 120)], "listing_id long")
-    cut = churn.find_cut(df, 3, 30)
-    picked = df.filter(cut.predicate())
-    # whole-key semantics: the repeated id is either fully in or fully out
-    assert picked.filter("listing_id = 7").count() in (0, 50)
+    ahead = df.filter("listing_id <> 7").filter(churn.AF.sample_hash("listing_id", 3) < churn.AF.sample_hash(churn.F.lit(7), 3)).count()
+    with pytest.raises(ValueError, match="unique"):
+        churn.find_cut(df, 3, ahead + 10)
+
+
+def test_rows_without_an_id_are_not_counted(spark):
+    df = spark.createDataFrame([(i,) for i in range(100)] + [(None,)] * 50, "listing_id long")
+    assert churn.sample_size_frame(df, "0.1").first()["k"] == df.filter(churn.sample_cut(df, 1, "0.1").predicate()).count() == 10
