@@ -151,3 +151,16 @@ def test_pipeline(spark):
     left = {i: t for i, t in left.items() if not any(item in decontam.normal(t) for _, item in items)}
     assert set(rows) == set(left) and all(r["round_trip"] for r in rows.values())
     assert len(P.STAGES) == 5 and P.ORACLE_SQL is None
+
+
+def test_seeds_are_window_minima():
+    rng = np.random.default_rng(5)
+    for n in (6, 14, 15, 16, 40, 400):
+        hashes = rng.integers(0, 50 if n % 2 else 1 << 62, n, dtype=np.uint64)
+        grams = passages.runs(hashes, passages.K)
+        at, found = passages.seeds(hashes)
+        span = min(passages.SPAN, len(grams))
+        if len(grams) > passages.SPAN:
+            want = {j + i for j in range(len(grams) - span + 1) for i in range(span) if grams[j + i] == grams[j : j + span].min()}
+            assert set(at.tolist()) == want
+        assert np.array_equal(found, grams[at].view(np.int64)) and len(at)
