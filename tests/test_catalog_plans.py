@@ -3,6 +3,7 @@ the hot path, no cross joins, no nested-loop joins."""
 
 import pytest
 
+from abode import catalog
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
@@ -10,10 +11,8 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "Broadcas
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    import __spark_entry__ as E
-
     out = {}
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         df = fn(spark, SF_SMALL)
         df.collect()
         out[name] = df._jdf.queryExecution().executedPlan().toString()

@@ -2,19 +2,21 @@
 
 import pytest
 
+from abode import catalog, oracle
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare
 
 
 @pytest.fixture(scope="module")
 def results(spark):
-    return compare(spark, SF_SMALL)
+    return compare(spark, SF_SMALL, list(catalog.queries()))
 
 
 def test_every_query_has_an_oracle():
     import __spark_entry__ as E
 
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_all_queries_match_oracle(results):
