@@ -4,7 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
-from conftest import EDGE, SF
+from edge_rows import EDGE, SF
 
 from abode.llm import neardup, passages
 from abode.llm.words import words

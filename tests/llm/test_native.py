@@ -5,7 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-from conftest import EDGE
+from edge_rows import EDGE
 from pyspark.sql import functions as F
 
 from abode.llm import exactdup, hilbert, markov

@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
-from conftest import EDGE
+from edge_rows import EDGE
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
