@@ -190,3 +190,22 @@ def test_written_change_sets_read_back(spark, scratch):
     for name, df in (("new_rows", ch.new_rows), ("deleted_keys", ch.deleted_keys), ("price_delta", ch.price_delta)):
         back = spark.read.parquet(f"{path}/{name}")
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_mark_is_there_before_the_data_and_damage_is_an_error(spark, scratch):
+    from abode.plans import batch_run
+
+    path = scratch("broken_run")
+    assert read_mark(spark, path) is None
+    batch_run.write_mark(spark, path, 77)  # a run that broke off before its data
+    assert read_mark(spark, path) == 77 and not batch_run.path_exists(spark, path)
+    spark.range(2).selectExpr("id as id_mark", "'x' as writer").write.mode("overwrite").parquet(path + batch_run.MARK_SUFFIX)
+    with pytest.raises(RuntimeError, match="damaged"):
+        read_mark(spark, path)
+
+
+def test_same_path():
+    from abode.plans.batch_run import same_path
+
+    assert same_path("file:/a/b", "/a//b/") and same_path("file:///a/b", "/a/./b") and same_path("s3://x/a/", "s3://x/a")
+    assert not same_path("/a/b", "/a/c") and not same_path("s3://x/a", "s3://y/a")
