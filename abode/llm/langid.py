@@ -188,6 +188,7 @@ def drop_unknown(df: DataFrame, profiles: Profiles, text_col: str = "text") -> D
 
     @F.pandas_udf("boolean")
     def known(texts: pd.Series) -> pd.Series:
-        return pd.Series([lang != UNKNOWN for lang, _ in profiles.predict(texts.tolist())])
+        parts = (texts.iloc[at : at + SLICE_ROWS].tolist() for at in range(0, len(texts), SLICE_ROWS))
+        return pd.Series([lang != UNKNOWN for part in parts for lang, _ in profiles.predict(part)], dtype=bool)
 
     return df.where(known(F.col(text_col)))
