@@ -134,6 +134,11 @@ def coder(path: str) -> Coder:
 IDS = pa.list_(pa.int32())
 
 
+def packed(ids: list[int]) -> np.ndarray:
+    """Four bytes an id, so that a slice of rows doesn't hold a Python object for each."""
+    return np.array(ids, dtype=np.int32)
+
+
 def encode_texts(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", long: int = LONG) -> DataFrame:
     """One row per input row: ``<id_col>, ids``, the token ids of the whole text.
 
@@ -147,7 +152,7 @@ def encode_texts(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
 
     def whole(batch: pa.RecordBatch) -> dict:
         encode = coder(tokenizer).encode
-        return {"_id": batch.column(0), "ids": [encode(t) for t in batch.column(1).to_pylist()]}
+        return {"_id": batch.column(0), "ids": [packed(encode(t.as_py())) for t in batch.column(1)]}
 
     short = map_batches(rows.where(F.length("_text") <= long), whole, out)
 
@@ -170,13 +175,13 @@ def _encode_long(texts: DataFrame, tokenizer: str) -> DataFrame:
 
     def encode(batch: pa.RecordBatch) -> dict:
         one = coder(tokenizer).encode
-        return {"_key": batch.column(0), "_seg": batch.column(1), "ids": [one(t) for t in batch.column(2).to_pylist()]}
+        return {"_key": batch.column(0), "_seg": batch.column(1), "ids": [packed(one(t.as_py())) for t in batch.column(2)]}
 
     def pair(batch: pa.RecordBatch) -> dict:
         join, ids = coder(tokenizer).join, []
-        for parts in batch.column(2).to_pylist():
-            lists = [p["ids"] for p in parts]
-            ids.append(lists[0] if len(lists) == 1 else join(*lists))
+        for parts in batch.column(2):
+            lists = [x.as_py() for x in parts.values.field("ids")]
+            ids.append(packed(lists[0] if len(lists) == 1 else join(*lists)))
         return {"_key": batch.column(0), "_seg": batch.column(1), "ids": ids}
 
     parts = map_batches(texts, cut, seg).dropDuplicates(["_key", "_seg"])  # copies are encoded once
@@ -208,12 +213,12 @@ def token_report(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id") ->
     )
 
     def work(batch: pa.RecordBatch) -> dict:
-        lists, decode = batch.column(1).to_pylist(), coder(tokenizer).decode
+        lists, decode = [x.values.to_numpy() for x in batch.column(1)], coder(tokenizer).decode
         return {
             id_col: batch.column(0),
             "n_tokens": [len(x) for x in lists],
-            "ids_sha256": [hashlib.sha256(np.array(x, dtype="<u4").tobytes()).hexdigest() for x in lists],
-            "decoded_sha256": [hashlib.sha256(decode(x).encode()).hexdigest() for x in lists],
+            "ids_sha256": [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in lists],
+            "decoded_sha256": [hashlib.sha256(decode(x.tolist()).encode()).hexdigest() for x in lists],
         }
 
     return map_batches(encoded.select(id_col, "ids"), work, schema)
