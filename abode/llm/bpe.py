@@ -139,8 +139,10 @@ def packed(ids: list[int]) -> np.ndarray:
     return np.array(ids, dtype=np.int32)
 
 
-def encode_texts(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", long: int = LONG) -> DataFrame:
-    """One row per input row: ``<id_col>, ids``, the token ids of the whole text.
+def encode_texts(
+    df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", long: int = LONG, digest: bool = False
+) -> DataFrame:
+    """One row per input row: ``<id_col>, ids``, the token ids of the whole text; with ``digest``, also ``text_sha256``.
 
     ``tokenizer`` is the path of a byte-level BPE file that every executor can
     read. Special tokens spelled out in a text get their ids. A null or empty
@@ -149,16 +151,21 @@ def encode_texts(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     """
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     out = pa.schema([("_id", to_arrow_type(df.schema[id_col].dataType)), ("ids", IDS)])
+    if digest:
+        rows = rows.withColumn("text_sha256", F.sha2("_text", 256))
+        out = out.append(pa.field("text_sha256", pa.string()))
+    own = [f.name for f in out]
 
     def whole(batch: pa.RecordBatch) -> dict:
         encode = coder(tokenizer).encode
-        return {"_id": batch.column(0), "ids": [packed(encode(t.as_py())) for t in batch.column(1)]}
+        ids = [packed(encode(t.as_py())) for t in batch.column(1)]
+        return {"_id": batch.column(0), "ids": ids} | ({"text_sha256": batch.column(2)} if digest else {})
 
     short = map_batches(rows.where(F.length("_text") <= long), whole, out)
 
     texts = rows.where(F.length("_text") > long).withColumn("_key", F.sha2("_text", 256))
     lists = _encode_long(texts.select("_key", "_text"), tokenizer)
-    joined = texts.select("_id", "_key").join(lists, "_key").select("_id", "ids")
+    joined = texts.drop("_text").join(lists, "_key").select(*own)
     return short.unionByName(joined).withColumnRenamed("_id", id_col)
 
 
@@ -207,18 +214,28 @@ def decode_ids(df: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: str
 
 
 def token_report(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id") -> DataFrame:
-    """From ``<id_col>, ids``: the number of tokens, and digests of the ids and of the decoded text."""
+    """From ``<id_col>, ids``: the number of tokens, and digests of the ids and of the decoded text.
+
+    If the rows carry ``text_sha256``, also ``round_trip``: whether the row's own text is what the ids decode to.
+    """
     schema = pa.schema(
         [(id_col, to_arrow_type(encoded.schema[id_col].dataType)), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     )
+    columns = [id_col, "ids"]
+    if "text_sha256" in encoded.columns:
+        schema = schema.append(pa.field("round_trip", pa.bool_()))
+        columns.append("text_sha256")
 
     def work(batch: pa.RecordBatch) -> dict:
         lists, decode = [x.values.to_numpy() for x in batch.column(1)], coder(tokenizer).decode
-        return {
+        out = {
             id_col: batch.column(0),
             "n_tokens": [len(x) for x in lists],
             "ids_sha256": [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in lists],
             "decoded_sha256": [hashlib.sha256(decode(x.tolist()).encode()).hexdigest() for x in lists],
         }
+        if len(columns) > 2:
+            out["round_trip"] = [a == b for a, b in zip(out["decoded_sha256"], batch.column(2).to_pylist())]
+        return out
 
-    return map_batches(encoded.select(id_col, "ids"), work, schema)
+    return map_batches(encoded.select(*columns), work, schema)

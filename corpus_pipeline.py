@@ -8,7 +8,6 @@ and all but the last return the columns of ``documents``. Stages don't look at
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from abode.llm import bpe, decontam, exactdup, langid, neardup
 from abode.llm.queries import tokenizer_path
@@ -39,11 +38,8 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
     path = tokenizer_path()
-    texts = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
-    report = bpe.token_report(bpe.encode_texts(docs, path), path)
-    return report.join(texts, "doc_id").select(
-        "doc_id", "n_tokens", "ids_sha256", (F.col("decoded_sha256") == F.col("text_sha256")).alias("round_trip")
-    )
+    report = bpe.token_report(bpe.encode_texts(docs, path, digest=True), path)
+    return report.select("doc_id", "n_tokens", "ids_sha256", "round_trip")
 
 
 STAGES = [

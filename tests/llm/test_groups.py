@@ -164,3 +164,22 @@ def test_seeds_are_window_minima():
             want = {j + i for j in range(len(grams) - span + 1) for i in range(span) if grams[j + i] == grams[j : j + span].min()}
             assert set(at.tolist()) == want
         assert np.array_equal(found, grams[at].view(np.int64)) and len(at)
+
+
+def test_pipeline_stages_on_edge_rows(spark):
+    import corpus_pipeline as P
+    from edge_rows import COLUMNS
+
+    odd = [
+        (20, "a first text under a shared identifier", "en", "s", 1, 7, "x", 1),
+        (20, "and quite another one under the same identifier", "en", "s", 1, 7, "x", 1),
+        (None, "one more row without identifier", "en", "s", 1, 7, "x", 1),
+        (None, "long words " * 4000, "en", "s", 1, 7, "x", 1),
+    ]
+    docs = spark.createDataFrame(EDGE + odd, COLUMNS)
+    for _, stage in P.STAGES[:-1]:
+        docs = stage(spark, docs, SF).localCheckpoint()
+    kept = Counter(r["doc_id"] for r in docs.collect())
+    assert kept == {5: 1, 7: 1, 8: 1, 9: 1, 20: 2, None: 3}
+    rows = P.STAGES[-1][1](spark, docs, SF).collect()
+    assert Counter(r["doc_id"] for r in rows) == kept and all(r["round_trip"] for r in rows)
