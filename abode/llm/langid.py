@@ -6,8 +6,8 @@ product of the rotated letters, and a text's vector is the sum (bundle) over its
 n-grams. A language's prototype bundles the training texts of that language; a
 text gets the language whose prototype has the largest cosine with its vector.
 
-Letter vectors come from a seed, so tasks rebuild them; they are all a task
-needs besides the prototypes. Training adds up integer vectors inside tasks and
+Letter vectors come from a seed and the letter's number, so tasks rebuild those
+they meet; they are all a task needs besides the prototypes. Training adds up integer vectors inside tasks and
 then one row per language, task and dimension block, so neither a common
 language nor a long text gathers anywhere.
 """
@@ -26,29 +26,55 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from abode.llm.batches import SLICE_ROWS, map_batches
 
-DIM, GRAM, SYMBOLS, SEED = 1024, 3, 40, 20240229
+DIM, GRAM, SEED = 1024, 3, 20240229
 UNKNOWN = "und"
 BLOCK = 512  # n-grams whose vectors are made at a time
-MANY = 8000  # characters from which counting by table is faster than sorting
+MANY, TABLE = 8000, 1 << 18  # characters from which counting by table is faster than sorting, and the largest such table
+CELLS = 1 << 23  # counts of texts x n-grams held at a time
+FULL = 1 << 18  # distinct n-grams a language's counts hold before they are added up
+
+
+def _lower(code: int) -> int:
+    return ord(chr(code).lower()[0])
+
+
+ALPHABET = [code for code in range(0x110000) if chr(code).isalpha()]
+LATIN = range(97, 123)
+#: Blank, a-z, and every other lower-cased letter by code point.
+LETTERS = [0, *LATIN, *sorted({_lower(code) for code in ALPHABET}.difference(LATIN))]
+SYMBOLS = len(LETTERS)
 
 
 @lru_cache(maxsize=1)
 def letters() -> np.ndarray:
-    """Symbol of each code point: 0 for what is no letter, 1-26 for a-z, a hashed class for other letters."""
-    table = np.zeros(0x110000, dtype=np.uint8)
-    for code in range(0x110000):
-        c = chr(code)
-        if c.isalpha():
-            low = ord(c.lower()[0])
-            table[code] = low - 96 if 97 <= low <= 122 else 27 + (low * 2654435761 >> 7) % (SYMBOLS - 27)
+    """Symbol of each code point: 0 for what is no letter, 1-26 for a-z, an own number for each other letter."""
+    number = {code: i for i, code in enumerate(LETTERS)}
+    table = np.zeros(0x110000, dtype=np.int32)
+    table[ALPHABET] = [number[_lower(code)] for code in ALPHABET]
     return table
 
 
+class _Vectors:
+    """Vectors of the symbols met so far: rows of one seeded table, of which only these are made."""
+
+    def __init__(self) -> None:
+        self.place = np.full(SYMBOLS, -1, dtype=np.int32)
+        self.rows, self.size = np.empty((64, DIM), dtype=np.int8), 0
+
+    def __call__(self, symbols: np.ndarray) -> np.ndarray:
+        for symbol in np.unique(symbols[self.place[symbols] < 0]).tolist():
+            if self.size == len(self.rows):
+                self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
+            bits = np.random.PCG64(SEED).advance(symbol * DIM // 8)  # one 64-bit draw makes eight entries
+            self.rows[self.size] = np.random.Generator(bits).integers(0, 2, DIM, dtype=np.int8) * 2 - 1
+            self.place[symbol] = self.size
+            self.size += 1
+        return self.rows[self.place[symbols]]
+
+
 @lru_cache(maxsize=1)
-def rotated() -> list[np.ndarray]:
-    """Letter vectors, rotated for each place of an n-gram."""
-    base = np.random.default_rng(SEED).integers(0, 2, (SYMBOLS, DIM), dtype=np.int8) * 2 - 1
-    return [np.roll(base, GRAM - 1 - place, axis=1).astype(np.float32) for place in range(GRAM)]
+def known_vectors() -> _Vectors:
+    return _Vectors()
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -59,31 +85,45 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     codes = letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
     if not codes.any():
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    padded = np.zeros(len(codes) + 2, dtype=np.int32)
+    padded = np.zeros(len(codes) + 2, dtype=np.int64)
     padded[1:-1] = codes
     blank = padded == 0
     padded = padded[~(blank & np.concatenate([[False], blank[:-1]]))]
     many = len(padded) - GRAM + 1
-    gram = padded[:many].copy()
+    if many >= MANY:
+        own = np.flatnonzero(np.bincount(padded, minlength=SYMBOLS))
+        if len(own) ** GRAM <= TABLE:  # numbered by the text's own letters
+            number = np.zeros(SYMBOLS, dtype=np.int64)
+            number[own] = np.arange(len(own))
+            sums = np.bincount(_joined(number[padded], len(own)))
+            found = np.flatnonzero(sums)
+            codes = np.zeros(len(found), dtype=np.int64)
+            for place in range(GRAM):
+                codes = codes * SYMBOLS + own[found // len(own) ** (GRAM - 1 - place) % len(own)]
+            return codes, sums[found]
+    gram = _joined(padded, SYMBOLS)
+    gram.sort()
+    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+    return gram[first], np.diff(first, append=many)
+
+
+def _joined(symbols: np.ndarray, size: int) -> np.ndarray:
+    """Code of each n-gram of symbols under ``size``."""
+    many = len(symbols) - GRAM + 1
+    gram = symbols[:many].copy()
     for place in range(1, GRAM):
-        gram *= SYMBOLS
-        gram += padded[place : many + place]
-    if many < MANY:
-        gram.sort()
-        first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-        return gram[first].astype(np.int64), np.diff(first, append=many)
-    sums = np.bincount(gram, minlength=SYMBOLS**GRAM)
-    found = np.flatnonzero(sums)
-    return found, sums[found]
+        gram *= size
+        gram += symbols[place : many + place]
+    return gram
 
 
 def vectors(codes: np.ndarray) -> np.ndarray:
     """The n-grams' vectors, one a row."""
-    tables = rotated()
-    out = tables[-1][codes % SYMBOLS]
+    own = known_vectors()
+    out = own(codes % SYMBOLS)
     for place in range(GRAM - 2, -1, -1):
         codes = codes // SYMBOLS
-        out = out * tables[place][codes % SYMBOLS]
+        out *= np.roll(own(codes % SYMBOLS), GRAM - 1 - place, axis=1)
     return out
 
 
@@ -91,39 +131,75 @@ def bundles(texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """The texts' vectors, one a row, from their n-gram codes and counts.
 
     Sums of whole numbers: exact in float32 up to 16 million n-grams a text,
-    rounded beyond. Each n-gram's vector is made once for all texts.
+    rounded beyond. Each n-gram's vector is made once for all texts, or for a
+    part of them if they have too many n-grams between them.
     """
     known, column = np.unique(np.concatenate([c for c, _ in texts]), return_inverse=True)
+    if len(texts) > 1 and len(texts) * len(known) > CELLS:
+        half = len(texts) // 2
+        return np.concatenate([bundles(texts[:half]), bundles(texts[half:])])
     row = np.repeat(np.arange(len(texts)), [len(c) for c, _ in texts])
     counts = np.zeros((len(texts), len(known)), dtype=np.float32)
     counts[row, column] = np.concatenate([n for _, n in texts])
     out = np.zeros((len(texts), DIM), dtype=np.float32)
     for at in range(0, len(known), BLOCK):
-        out += counts[:, at : at + BLOCK] @ vectors(known[at : at + BLOCK])
+        out += counts[:, at : at + BLOCK] @ vectors(known[at : at + BLOCK]).astype(np.float32)
     return out.astype(np.float64)
 
 
+class _Sum:
+    """Vector of one language's texts: n-gram counts, added up whenever ``FULL`` distinct ones are held."""
+
+    def __init__(self) -> None:
+        self.vector = np.zeros(DIM, dtype=np.int64)
+        self.codes, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((codes, counts))
+        self.waiting += len(codes)
+        if self.waiting > FULL:
+            self._merge()
+            if len(self.codes) > FULL:
+                self.total()
+
+    def _merge(self) -> None:
+        codes = np.concatenate([self.codes, *(c for c, _ in self.parts)])
+        counts = np.concatenate([self.counts, *(n for _, n in self.parts)])
+        order = np.argsort(codes, kind="stable")
+        codes = codes[order]
+        first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])[: len(codes)])
+        self.codes, self.counts = codes[first], np.add.reduceat(counts[order], first) if len(first) else counts
+        self.parts, self.waiting = [], 0
+
+    def total(self) -> np.ndarray:
+        self._merge()
+        for at in range(0, len(self.codes), BLOCK):
+            self.vector += self.counts[at : at + BLOCK] @ vectors(self.codes[at : at + BLOCK]).astype(np.int64)
+        self.codes, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        return self.vector
+
+
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:
     """Prototype of each non-null language, from all rows of ``df``.
 
     A text counts by its n-grams, so n-gram counts are summed first and each
-    distinct n-gram's vector is added once per task and language.
+    distinct n-gram's vector is added once per task and language, or once for
+    every ``FULL`` distinct ones where an alphabet has more.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
+        total: dict[str, _Sum] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
                 for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     codes, counts = grams(text)
                     if len(codes):
-                        sums = total.setdefault(lang, np.zeros(SYMBOLS**GRAM, dtype=np.int64))
-                        sums[codes] += counts
+                        total.setdefault(lang, _Sum()).add(codes, counts)
         for lang, sums in total.items():
-            codes = np.flatnonzero(sums)
-            vector = sum(sums[c] @ vectors(c).astype(np.int64) for c in np.array_split(codes, -(-len(codes) // BLOCK)))
-            yield pa.RecordBatch.from_pydict({"lang": [lang] * DIM, "dim": np.arange(DIM, dtype=np.int32), "v": vector})
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * DIM, "dim": np.arange(DIM, dtype=np.int32), "v": sums.total()})
 
     rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     parts = rows.where("text is not null and lang is not null").mapInArrow(partial, "lang string, dim int, v long")

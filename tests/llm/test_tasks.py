@@ -201,3 +201,41 @@ def test_pii_rows(spark, edge, nothing, documents):
     assert len(pii.find("a" * 200_000 + "9" * 200_000)) == 0  # in linear time
     masked = pii.mask_pii(spark.createDataFrame([(1, "to a@b.cd now"), (2, None)], "doc_id long, text string")).collect()
     assert [r["text"] for r in masked] == ["to [email] now", None]
+
+
+def test_every_letter_has_its_own_vector(spark):
+    table = langid.letters()
+    alphabets = ["абвгдеёжзийклмнопрстуфхцчшщъыьэюяіїєґ", "éèêëàâäßóôöîïñûüç", "αβγδεζηθικλμνξοπρστυφχψω"]
+    cjk = [chr(c) for c in (*range(0x4E00, 0xA000), *range(0x3041, 0x3097), *range(0x30A1, 0x30FB), *range(0xAC00, 0xD7A4))]
+    for own in (*alphabets, cjk):
+        symbols = table[[ord(c) for c in own]]
+        assert len(set(symbols.tolist())) == len(own) and 26 < symbols.min() and symbols.max() < langid.SYMBOLS
+    assert (table[[ord(c) for c in "ЖÉ"]] == table[[ord(c) for c in "жé"]]).all()
+    rows = langid.known_vectors()(table[[ord(c) for c in "".join(alphabets) + "漢字かなカナ한글"]]).astype(int)
+    assert np.abs(rows @ rows.T - langid.DIM * np.eye(len(rows))).max() < langid.DIM / 4
+
+    kana = [chr(c) for c in range(0x3041, 0x3097)]
+    han = [chr(c) for c in range(0x4E00, 0x5200)]
+    rng = random.Random(3)
+    # languages of one script that differ in letters which used to share a class: б and ж, both halves of kana and Han
+    kinds = {"xa": "бао", "xb": "жао", "ka": kana[::2], "kb": kana[1::2], "ha": han[::2], "hb": han[1::2]}
+    lexicon = {k: ["".join(rng.choice(own) for _ in range(4)) for _ in range(30)] for k, own in kinds.items()}
+    texts = [(i, "".join(rng.choice(lexicon[k]) for _ in range(60)), k) for i, k in enumerate(list(kinds) * 30)]
+    found = langid.predict_languages(spark.createDataFrame(texts, "doc_id long, text string, lang string")).collect()
+    assert all(r["lang_pred"] == texts[r["doc_id"]][2] for r in found) and any(r["held_out"] for r in found)
+
+
+def test_counts_added_up_in_parts():
+    rng = random.Random(6)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(300)) for _ in range(20)] + ["plain words"] * 3
+    found = [langid.grams(t) for t in texts]
+    whole = langid.bundles(found)
+    full, cells = langid.FULL, langid.CELLS
+    langid.FULL, langid.CELLS = 500, 2000
+    try:
+        parts, total = langid.bundles(found), langid._Sum()
+        for codes, counts in found:
+            total.add(codes, counts)
+        assert np.array_equal(parts, whole) and np.array_equal(total.total(), whole.sum(axis=0))
+    finally:
+        langid.FULL, langid.CELLS = full, cells
