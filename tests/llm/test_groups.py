@@ -183,3 +183,35 @@ def test_pipeline_stages_on_edge_rows(spark):
     assert kept == {5: 1, 7: 1, 8: 1, 9: 1, 20: 2, None: 3}
     rows = P.STAGES[-1][1](spark, docs, SF).collect()
     assert Counter(r["doc_id"] for r in rows) == kept and all(r["round_trip"] for r in rows)
+
+
+def plain_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_passages_with_a_changed_word_in_four(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    prose = lambda n: [word() for _ in range(n)]
+    docs, own = [], {}
+    for step in (4, 5, 6, 8, 9, 10):
+        for n in (50, 60):
+            for _ in range(10):
+                i, passage = len(docs), prose(n)
+                copy = [word() if at % step == step // 2 else w for at, w in enumerate(passage)]
+                assert 1 - plain_edits(passage, copy) / n >= passages.LEAST_ALIKE
+                docs += [(i, " ".join(prose(80) + passage + prose(30))), (i + 1, " ".join(prose(40) + copy + prose(70)))]
+                own[i + 1] = n
+    rows = passages.shared_passages(spark.createDataFrame(docs, SCHEMA)).collect()
+    text = {i: words(t) for i, t in docs}
+    for r in rows:
+        a, b = text[r["doc_id"]][r["start"] : r["end"]], text[r["ref_id"]][r["ref_start"] : r["ref_end"]]
+        assert r["edits"] == plain_edits(a, b)
+    held = {r["doc_id"]: min(r["end"], 40 + own[r["doc_id"]]) - max(r["start"], 40) for r in rows if r["ref_id"] == r["doc_id"] - 1}
+    assert set(held) == set(own) and all(held[i] >= 0.9 * n for i, n in own.items())
