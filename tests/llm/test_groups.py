@@ -215,3 +215,28 @@ def test_passages_with_a_changed_word_in_four(spark):
         assert r["edits"] == plain_edits(a, b)
     held = {r["doc_id"]: min(r["end"], 40 + own[r["doc_id"]]) - max(r["start"], 40) for r in rows if r["ref_id"] == r["doc_id"] - 1}
     assert set(held) == set(own) and all(held[i] >= 0.9 * n for i, n in own.items())
+
+
+def test_variants_edited_in_different_places(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    prose = lambda n: [word() for _ in range(n)]
+    passage = prose(60)
+    variants = [[word() if rng.random() < 0.1 else w for w in passage] for _ in range(300)]
+    docs = [(i, " ".join(prose(20) + v + prose(20))) for i, v in enumerate(variants)]
+    alike = lambda a, b: sum(x == y for x, y in zip(a, b)) >= 0.7 * 60
+    want = {i for i in range(300) if any(alike(variants[i], v) for v in variants[:i])}
+    assert {r["doc_id"] for r in passages.shared_passages(spark.createDataFrame(docs, SCHEMA)).collect()} == want
+
+
+def test_extension_beyond_the_words_at_hand(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    prose = lambda n: [word() for _ in range(n)]
+    near, far = prose(30), prose(120)
+    # the words after the first 30 stand unchanged in many documents, of which 100 is neither the first nor the nearest
+    docs = [(0, " ".join(far))] + [(i, " ".join(prose(5) + far)) for i in range(1, 40)]
+    docs += [(100, " ".join(near + far)), (101, " ".join(far)), (102, " ".join(prose(9) + near + far))]
+    rows = passages.shared_passages(spark.createDataFrame(docs, SCHEMA)).where("doc_id = 102").collect()
+    assert any(r["ref_id"] == 100 and (r["start"], r["end"]) == (9, 159) for r in rows)
+    assert any(r["ref_id"] == 0 and r["end"] - r["start"] >= 120 for r in rows)
