@@ -260,11 +260,17 @@ def predict_languages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_unknown(df: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """``df`` without the rows whose text has no language: null, or without a letter."""
+    """``df`` without the rows whose text has no language: null, or without a letter.
+
+    Letters alone decide: any profile takes a text that has one, and without
+    profiles such texts stay, too.
+    """
 
     @F.pandas_udf("boolean")
     def known(texts: pd.Series) -> pd.Series:
         parts = (texts.iloc[at : at + SLICE_ROWS].tolist() for at in range(0, len(texts), SLICE_ROWS))
+        if not profiles.langs:
+            return pd.Series([len(grams(t or "")[0]) > 0 for part in parts for t in part], dtype=bool)
         return pd.Series([lang != UNKNOWN for part in parts for lang, _ in profiles.predict(part)], dtype=bool)
 
     return df.where(known(F.col(text_col)))

@@ -15,7 +15,7 @@ from abode.session import scratch_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Profiles learned from the labelled rows that aren't held out; texts without a language go."""
+    """Profiles learned from the labelled rows that aren't held out; texts without a letter, and only those, go."""
     profiles = langid.Profiles(langid.train(docs.where(~langid.held_out())))
     return langid.drop_unknown(docs, profiles)
 

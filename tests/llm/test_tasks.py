@@ -239,3 +239,9 @@ def test_counts_added_up_in_parts():
         assert np.array_equal(parts, whole) and np.array_equal(total.total(), whole.sum(axis=0))
     finally:
         langid.FULL, langid.CELLS = full, cells
+
+
+def test_without_profiles_texts_with_letters_stay(edge):
+    want = Counter(e[0] for e in EDGE if any(c.isalpha() for c in e[1] or ""))
+    for profiles in (langid.Profiles({}), langid.Profiles(langid.train(edge))):
+        assert Counter(r["doc_id"] for r in langid.drop_unknown(edge, profiles).collect()) == want
