@@ -4,8 +4,8 @@ Rules find assignments (``token = "..."``), access keys and hexadecimal runs.
 What the rules capture is a labelled sample of random strings, and runs of
 letters outside those spans are a labelled sample of ordinary identifiers. A
 first-order character model is counted for each class over the whole table, and
-every long unbroken run that no rule covers is added as a span of kind
-``markov`` if its mean log-likelihood ratio per step speaks for the random one.
+every long unbroken run, or what the rules' spans leave of it, is added as a span
+of kind ``markov`` if its mean log-likelihood ratio per step speaks for the random one.
 
 All of it is DataFrame expressions. The two models together are a table of
 ``CODES`` x ``CODES`` numbers whatever the input's size, and reach the tasks as
@@ -27,7 +27,8 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"  # AKIA and one run: 18 characters or more, the sa
 HEX = r"[0-9a-f]{16,}"  # whole runs of 16 or more
 KINDS = ("assign", "access", "hex", "markov")
 
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+LEAST = 20
+RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_]{9,}(?![A-Za-z0-9+/_=-])"
 FIRST, CODES = 43, 80  # '+' to 'z'
 THRESHOLD = 0.35  # mean log-likelihood ratio per step, in nats
@@ -114,8 +115,8 @@ def find_secrets(
     """One row per input row: the identifier, ``base`` and ``found`` (arrays of spans).
 
     A span is ``(s, e, k, v)``: code points, end exclusive, index into ``KINDS``
-    and the value. ``found`` holds ``base`` and the runs added by the models;
-    those never overlap a rule's span. ``ratio`` is a trained table, by default
+    and the value. ``found`` holds ``base`` and the runs added by the models, or
+    their parts outside the rules' spans; those never overlap a rule's span. ``ratio`` is a trained table, by default
     :func:`log_ratio` of the same rows. A null text counts as empty and has no
     spans; repeated rows each get their own; an empty table gives no rows.
     """
@@ -123,10 +124,16 @@ def find_secrets(
     table = f"from_json('{json.dumps(ratio)}', 'array<double>')"
     steps = _steps("c.v")
     mean = f"aggregate({steps}, 0.0D, (t, x) -> t + _ratio[x]) / (length(c.v) - 1)"
-    free = "not exists(_base, b -> b.s < c.e and c.s < b.e)"
+    piece = "struct({0} as s, {1} as e, c.k as k, substring(c.v, {0} - c.s + 1, {1} - {0}) as v)"
+    cut = (
+        f"aggregate(filter(_base, b -> b.s < c.e and c.s < b.e), struct(c.s as p, cast(array() as {SPAN}) as o), "
+        f"(a, b) -> struct(greatest(a.p, b.e) as p, if(b.s - a.p >= {LEAST}, concat(a.o, array({piece.format('a.p', 'b.s')})), a.o) as o), "
+        f"a -> if(c.e - a.p >= {LEAST}, concat(a.o, array({piece.format('a.p', 'c.e')})), a.o))"
+    )
     rows = _texts(df, id_col, text_col).withColumn("_runs", F.expr(spans("_text", RUN, 3)))
     rows = rows.withColumn("_ratio", F.expr(table))
-    added = F.expr(f"filter(_runs, c -> {free} and {mean} > {threshold}D)")
+    rows = rows.withColumn("_runs", F.expr(f"flatten(transform(_runs, c -> {cut}))"))
+    added = F.expr(f"filter(_runs, c -> {mean} > {threshold}D)")
     order = "(a, b) -> case when a.s <> b.s then a.s - b.s else a.k - b.k end"
     return rows.select(
         F.col("_id").alias(id_col), F.col("_base").alias("base"), F.concat("_base", added).alias("_all")

@@ -105,3 +105,15 @@ def test_models_tell_random_strings_from_identifiers(spark):
     found = {r["doc_id"]: r["found"] for r in markov.find_secrets(spark.createDataFrame(held, schema), ratio=ratio).collect()}
     assert sum(bool(found[1000 + i]) for i in range(100)) >= 95
     assert sum(bool(found[2000 + i]) for i in range(100)) == 0
+
+
+def test_secret_joined_to_a_hex_run(spark):
+    secret, digits = "qX7Zk2LmP9vT4bRw8NcY3sHd", "0123456789abcdef"
+    texts = [f"at path/{digits}/{secret} end", f"{secret}-{digits}_{secret} x", f"{secret} {digits}", f"é {digits}/short/{digits}{secret[:19]}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in markov.find_secrets(df, ratio=[1.0] * markov.CODES**2).collect()}
+    want = [["/" + secret], [secret + "-", "_" + secret], [secret], []]
+    for i, text in enumerate(texts):
+        added = [x for x in rows[i]["found"] if x["k"] == 3]
+        assert [x["v"] for x in added] == want[i] == [text[x["s"] : x["e"]] for x in added]
+        assert not any(b["s"] < x["e"] and x["s"] < b["e"] for x in added for b in rows[i]["base"])
