@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abode.llm import bpe, decontam, exactdup, hilbert, langid, markov, neardup, passages, pii, urlglob
+from abode.llm import audit, bpe, decontam, exactdup, hilbert, langid, markov, neardup, passages, pii, urlglob
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,10 @@ def op10_pii_spans(spark, sf_dir):
     return pii.pii_report(documents(spark, sf_dir))
 
 
+def op13_retraction_audit(spark, sf_dir):
+    return audit.filter_audit(spark, f"{sf_dir}/documents.parquet", spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 OP2_SQL = """
 WITH rules(verdict, host, path) AS (
   VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
@@ -123,6 +127,47 @@ SELECT t.doc_id, g.keep_id, g.group_size,
 FROM t JOIN g USING (h)
 """
 
+OP13_SQL = """
+WITH l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+least AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+w AS (
+  SELECT d.*, regexp_extract_all(d.t, '[^\\x20\\x09-\\x0D]+') AS words, coalesce(d.doc_id > least.first, false) AS later,
+         coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic
+  FROM d JOIN least ON d.t = least.t LEFT JOIN l ON d.doc_id = l.doc_id),
+fails AS (
+  SELECT part, good, toxic,
+         concat(CASE WHEN len(words) < 200 THEN 'A' ELSE '' END,
+                CASE WHEN 100 * list_unique(words) < 50 * len(words) THEN 'B' ELSE '' END,
+                CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END,
+                CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+                CASE WHEN later THEN 'E' ELSE '' END) AS f
+  FROM w),
+c AS (SELECT part, good, toxic, f, count(*) AS n FROM fails GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+orders AS (
+  SELECT concat(a.k, b.k, c.k, d.k, e.k) AS o FROM x a JOIN x b ON b.k <> a.k JOIN x c ON c.k NOT IN (a.k, b.k)
+  JOIN x d ON d.k NOT IN (a.k, b.k, c.k) JOIN x e ON e.k NOT IN (a.k, b.k, c.k, d.k)),
+steps AS (
+  SELECT o, s.step, substr(o, s.step, 1) AS own, substr(o, 1, s.step - 1) AS earlier
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step) s),
+seen AS (
+  SELECT c.*, o, step, own, contains(f, own) AS here, earlier <> '' AND translate(f, earlier, '') <> f AS gone FROM c, steps),
+sums AS (
+  SELECT part, o AS filter_order, step, any_value(own) AS own,
+         coalesce(sum(n) FILTER (NOT here AND NOT gone), 0) AS kept,
+         coalesce(sum(n) FILTER (here AND NOT gone), 0) AS removed,
+         coalesce(sum(n) FILTER (here AND gone), 0) AS redundant,
+         coalesce(sum(n) FILTER (f = own), 0) AS unique_fails,
+         coalesce(sum(n) FILTER (here AND NOT gone AND good), 0) AS good_lost,
+         coalesce(sum(n) FILTER (here AND NOT gone AND toxic), 0) AS toxic_lost
+  FROM seen GROUP BY part, o, step)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM sums
+"""
+
 
 def queries() -> dict[str, Query]:
     return {
@@ -136,8 +181,14 @@ def queries() -> dict[str, Query]:
         "op8_tree_exact_dedup": op8_tree_exact_dedup,
         "op9_pigeonhole_decontam": op9_pigeonhole_decontam,
         "op10_pii_spans": op10_pii_spans,
+        "op13_retraction_audit": op13_retraction_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_fss_near_dedup": OP4_SQL, "op2_url_automaton": OP2_SQL, "op8_tree_exact_dedup": OP8_SQL}
+    return {
+        "op4_fss_near_dedup": OP4_SQL,
+        "op2_url_automaton": OP2_SQL,
+        "op8_tree_exact_dedup": OP8_SQL,
+        "op13_retraction_audit": OP13_SQL,
+    }
