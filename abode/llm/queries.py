@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abode.llm import audit, bpe, decontam, exactdup, hilbert, langid, markov, neardup, passages, pii, urlglob
+from abode.llm import audit, bpe, decontam, exactdup, hilbert, langid, linecrf, markov, neardup, passages, pii, urlglob
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,10 @@ def op10_pii_spans(spark, sf_dir):
     return pii.pii_report(documents(spark, sf_dir))
 
 
+def op12_line_crf(spark, sf_dir):
+    return linecrf.quality_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op13_retraction_audit(spark, sf_dir):
     return audit.filter_audit(spark, f"{sf_dir}/documents.parquet", spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -181,6 +185,7 @@ def queries() -> dict[str, Query]:
         "op8_tree_exact_dedup": op8_tree_exact_dedup,
         "op9_pigeonhole_decontam": op9_pigeonhole_decontam,
         "op10_pii_spans": op10_pii_spans,
+        "op12_line_crf": op12_line_crf,
         "op13_retraction_audit": op13_retraction_audit,
     }
 

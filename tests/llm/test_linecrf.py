@@ -1,0 +1,88 @@
+"""The line model: exact sums, training, held-out accuracy, edge rows."""
+
+from itertools import product
+
+import numpy as np
+import pytest
+from edge_rows import EDGE, SF
+from pyspark.sql import functions as F
+
+from abode.llm import linecrf
+
+
+def test_sums_against_all_labellings():
+    rng = np.random.default_rng(3)
+    lengths = np.array([3, 1, 5, 2])
+    emit, start, steps = rng.normal(size=11), rng.normal(size=2), rng.normal(size=(2, 2))
+    near, pairs, total = linecrf.forward_backward(emit, lengths, start, steps)
+    at, log_sum, want = 0, 0.0, np.zeros((2, 2))
+    for n in lengths:
+        chance, weight = np.zeros((n, 2)), 0.0
+        moves = np.zeros((2, 2))
+        for y in product((0, 1), repeat=int(n)):
+            score = start[y[0]] + sum(emit[at + i] * y[i] for i in range(n)) + sum(steps[a, b] for a, b in zip(y, y[1:]))
+            w = np.exp(score)
+            weight += w
+            for i, label in enumerate(y):
+                chance[i, label] += w
+            for a, b in zip(y, y[1:]):
+                moves[a, b] += w
+        assert np.allclose(near[at : at + n], chance / weight)
+        want += moves / weight
+        log_sum += np.log(weight)
+        at += n
+    assert np.allclose(pairs, want) and np.isclose(total, log_sum)
+
+
+def test_neighbours_stay_in_their_text():
+    stats = np.arange(6, dtype=float)[:, None] * np.ones((1, len(linecrf.STATS)))
+    first = np.array([True, False, False, True, False, True])
+    cuts = [np.array([1.0, 3.0])] * len(linecrf.STATS)
+    x = linecrf.features(stats, first, cuts)
+    wide = 2 * len(linecrf.STATS)
+    own, before, after = x[:, :wide], x[:, wide : 2 * wide], x[:, 2 * wide : 3 * wide]
+    assert not before[first].any() and not after[[2, 4, 5]].any()
+    assert (before[[1, 2, 4]] == own[[0, 1, 3]]).all() and (after[[0, 1, 3]] == own[[1, 2, 4]]).all()
+
+
+def test_line_stats():
+    named = dict(zip(linecrf.STATS, linecrf.line_stats("Ab ab ab É!|#1 ".encode(), True)))
+    assert named["repeats_before"] == 1 / 4 and named["distinct_words"] == 3 / 4 and named["longest_word"] == 6
+    assert named["seen_before"] == 1 and named["bars"] == 1 / 16 and named["capitals"] == 1 / 8
+    assert linecrf.text_lines(None) == [b""] and len(linecrf.text_stats([b""])) == 1
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.read.parquet(f"{SF.replace('0.001', '0.1')}/labels.parquet")
+
+
+def test_held_out_quality(spark, labels):
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.1')}/documents.parquet")
+    found = linecrf.quality_report(docs, labels)
+    rows = found.join(labels, "doc_id").where("held_out").collect()
+    assert found.count() == docs.count() and len(rows) > 500
+    good = [r["predicted"] for r in rows if r["quality"] == 1]
+    bad = [r["predicted"] for r in rows if r["quality"] == 0]
+    assert np.mean(good) > 0.97 and np.mean(bad) < 0.15
+
+
+def test_training_reads_no_held_out_label(spark, documents):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    turned = labels.withColumn("quality", F.when(linecrf.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    a = linecrf.quality_report(documents, labels).collect()
+    b = linecrf.quality_report(documents.withColumn("lang", F.lit("xx")).withColumn("source", F.col("text")), turned).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_edge_rows(spark, edge, nothing, documents):
+    labels = spark.createDataFrame([(3, 1, 0), (3, 0, 0), (None, 1, 0), (4, None, 1), (5, 1, None)], "doc_id long, quality int, toxic int")
+    rows = linecrf.quality_report(edge, labels).collect()
+    assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(e[0]) for e in EDGE)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+    none = linecrf.quality_report(edge, labels.limit(0)).collect()
+    assert {r["score"] for r in none} == {0.5}
+    assert linecrf.quality_report(nothing, labels).collect() == []
+    model = linecrf.train(documents, spark.read.parquet(f"{SF}/labels.parquet"))
+    for r, e in zip(linecrf.label_lines(edge, model).orderBy(F.monotonically_increasing_id()).collect(), EDGE):
+        assert r["doc_id"] == e[0] and "\n".join(x["line"] for x in r["lines"]) == (e[1] or "")
