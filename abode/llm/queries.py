@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abode.llm import audit, bpe, decontam, exactdup, hilbert, langid, linecrf, markov, neardup, passages, pii, urlglob
+from abode.llm import audit, bpe, collocations, decontam, exactdup, hilbert, langid, linecrf, markov, neardup, passages, pii, urlglob
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,10 @@ def op10_pii_spans(spark, sf_dir):
     return pii.pii_report(documents(spark, sf_dir))
 
 
+def op11_tiled_collocations(spark, sf_dir):
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def op12_line_crf(spark, sf_dir):
     return linecrf.quality_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -131,6 +135,37 @@ SELECT t.doc_id, g.keep_id, g.group_size,
 FROM t JOIN g USING (h)
 """
 
+OP11_SQL = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, s.k, unnest(list_transform(range(1, len(ws) - s.k + 2), lambda i: array_to_string(ws[i:i + s.k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) s WHERE len(ws) >= s.k),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cuts AS (
+  SELECT lang, phrase, a, i, array_to_string(ws[1:i], ' ') AS head, array_to_string(ws[i + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM c)),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, x.a AS l, y.a AS r, (2000000::HUGEINT * cuts.a) // (x.a + y.a) AS score,
+         row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY (2000000::HUGEINT * cuts.a) // (x.a + y.a), i) AS pick
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.head JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.tail),
+inner_ AS (
+  SELECT lang, a, array_to_string(ws[i:j], ' ') AS phrase
+  FROM (SELECT *, unnest(range(i + 1, k + 1)) AS j FROM (SELECT *, unnest(range(1, k)) AS i FROM c)) WHERE j - i + 1 < k),
+covered AS (
+  SELECT DISTINCT c.lang, c.phrase FROM c JOIN inner_ ON c.lang = inner_.lang AND c.phrase = inner_.phrase
+  WHERE 100 * inner_.a >= 80 * c.a),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM scored s ANTI JOIN covered ON s.lang = covered.lang AND s.phrase = covered.phrase WHERE pick = 1)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 OP13_SQL = """
 WITH l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
 d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
@@ -185,6 +220,7 @@ def queries() -> dict[str, Query]:
         "op8_tree_exact_dedup": op8_tree_exact_dedup,
         "op9_pigeonhole_decontam": op9_pigeonhole_decontam,
         "op10_pii_spans": op10_pii_spans,
+        "op11_tiled_collocations": op11_tiled_collocations,
         "op12_line_crf": op12_line_crf,
         "op13_retraction_audit": op13_retraction_audit,
     }
@@ -195,5 +231,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_fss_near_dedup": OP4_SQL,
         "op2_url_automaton": OP2_SQL,
         "op8_tree_exact_dedup": OP8_SQL,
+        "op11_tiled_collocations": OP11_SQL,
         "op13_retraction_audit": OP13_SQL,
     }

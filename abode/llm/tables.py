@@ -23,3 +23,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(table: DataFrame) -> None:
+    """Deletes what :func:`stored` wrote, once nothing that is still to run reads it."""
+    spark = table.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

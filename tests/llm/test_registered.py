@@ -8,7 +8,7 @@ from tests.oracle_compare import compare
 
 def test_sql(spark):
     result = compare(spark, SF, sorted(queries.oracle_sql()))
-    assert len(result) == 4 and all(r["match"] for r in result.values()), result
+    assert len(result) == 5 and all(r["match"] for r in result.values()), result
 
 
 def test_every_operator_is_registered():
