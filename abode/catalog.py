@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from abode import functions as AF
-from abode.operators import churn, reports, snapshot
+from abode.operators import churn, peers, reports, snapshot
 from abode.operators.enrich import cast_columns, enrich
 from abode.params import (
     AS_OF,
@@ -27,8 +27,8 @@ from abode.params import (
     UNKNOWN_PRICE,
     UPDATE_SEED,
 )
-from abode.plans.batch_run import RunConfig, run_batch
-from abode.schemas import ENRICHED, LISTING_COLUMNS, PRICE_TYPE, RAW_JSON
+from abode.plans.batch_run import RunConfig, plan_run, run_batch
+from abode.schemas import ENRICHED, LISTING_COLUMNS, PEER_STATE, PRICE_TYPE, RAW_JSON
 from abode.session import scratch_path
 from abode.sinks import write_raw_jsonl, write_snapshot
 from abode.sources import raw_listings, read_raw_jsonl, read_snapshot
@@ -289,6 +289,35 @@ def q_full_batch_run(spark, sf_dir):
     return result.select(*LISTING_COLUMNS)
 
 
+def run_with_kept_sums(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The table after a full run, and the sums behind its peer averages: those of
+    the table before, stored, brought forward by the run's changes alone."""
+    current, raw_batch = current_and_raw_batch(spark, sf_dir)
+    path = scratch_path(spark, "peer_sums")
+    peers.peer_state(current).write.parquet(path)
+    config = RunConfig(DELETE_SEED, UPDATE_SEED, Decimal(PCT), Decimal(PCT))
+    table, changes = plan_run(current, raw_batch, None, config)
+    delta = peers.peer_changes(changes.new_rows, changes.deleted_rows, changes.repriced_rows)
+    return table, peers.apply_changes(spark.read.schema(PEER_STATE).parquet(path), delta)
+
+
+def q_kept_peer_sums(spark, sf_dir):
+    return run_with_kept_sums(spark, sf_dir)[1]
+
+
+def _kept(fn, kind: str):
+    def run(spark, sf_dir):
+        table, state = run_with_kept_sums(spark, sf_dir)
+        return fn(state, table, SELECTED_ADDRESS, kind)
+
+    return run
+
+
+def q_kept_price_vs_age_peers(spark, sf_dir):
+    table, state = run_with_kept_sums(spark, sf_dir)
+    return peers.price_vs_kept_peers(table, state, "age")
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_raw_jsonl": q_scan_raw_jsonl,
@@ -335,6 +364,10 @@ def queries() -> dict[str, Query]:
         "snapshot_by_city_roundtrip": q_snapshot_by_city_roundtrip,
         "upsert_price_repeated_ids": q_upsert_price_repeated_ids,
         "full_batch_run": q_full_batch_run,
+        "kept_peer_sums": q_kept_peer_sums,
+        "kept_compare_by_sqft": _kept(peers.compare_kept, "sqft"),
+        "kept_overlay_by_age": _kept(peers.overlay_kept, "age"),
+        "kept_price_vs_age_peers": q_kept_price_vs_age_peers,
     }
 
 

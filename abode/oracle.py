@@ -159,50 +159,50 @@ def _churn_ctes(source: str, prefix: str) -> str:
 )"""
 
 
-def _segment_cte() -> str:
+def _segment_cte(table: str = "listings") -> str:
     return f""",
 sel AS (
   SELECT city, property_type, listing_price AS selected_price
-  FROM listings WHERE address = {_q(SELECTED_ADDRESS)} LIMIT 1
+  FROM {table} WHERE address = {_q(SELECTED_ADDRESS)} LIMIT 1
 )"""
 
 
-def _compare(bin_col: str) -> str:
+def _compare(bin_col: str, base: str = BASE, table: str = "listings") -> str:
     return (
-        BASE
-        + _segment_cte()
+        base
+        + _segment_cte(table)
         + f"""
 SELECT l.{bin_col}, {AVG_SQL.replace('listing_price', 'l.listing_price')} AS avg_listing_price
-FROM listings l JOIN sel s ON l.city = s.city AND l.property_type = s.property_type
+FROM {table} l JOIN sel s ON l.city = s.city AND l.property_type = s.property_type
 GROUP BY l.{bin_col}"""
     )
 
 
-def _overlay(bin_col: str) -> str:
+def _overlay(bin_col: str, base: str = BASE, table: str = "listings") -> str:
     avg = AVG_SQL.replace("listing_price", "l.listing_price")
     return (
-        BASE
-        + _segment_cte()
+        base
+        + _segment_cte(table)
         + f"""
 SELECT l.{bin_col}, {avg} AS avg_listing_price, s.selected_price,
        CAST(s.selected_price AS DOUBLE) - {avg} AS price_minus_avg
-FROM listings l JOIN sel s ON l.city = s.city AND l.property_type = s.property_type
+FROM {table} l JOIN sel s ON l.city = s.city AND l.property_type = s.property_type
 GROUP BY l.{bin_col}, s.selected_price"""
     )
 
 
-def _peers(bin_col: str) -> str:
+def _peers(bin_col: str, base: str = BASE, table: str = "listings") -> str:
     return (
-        BASE
+        base
         + f""",
 peers AS (
   SELECT city, property_type, {bin_col}, {AVG_SQL} AS avg_listing_price, count(*) AS peer_count
-  FROM listings GROUP BY city, property_type, {bin_col}
+  FROM {table} GROUP BY city, property_type, {bin_col}
 )
 SELECT l.listing_id, l.address, l.city, l.property_type, l.{bin_col}, l.listing_price,
        p.avg_listing_price, p.peer_count,
        CAST(l.listing_price AS DOUBLE) - p.avg_listing_price AS price_minus_avg
-FROM listings l JOIN peers p
+FROM {table} l JOIN peers p
   ON l.city IS NOT DISTINCT FROM p.city
  AND l.property_type IS NOT DISTINCT FROM p.property_type
  AND l.{bin_col} IS NOT DISTINCT FROM p.{bin_col}"""
@@ -314,4 +314,15 @@ SELECT listing_id, {', '.join(c for c in LISTING_COLUMNS[1:] if c != 'listing_pr
             THEN {_new_price(UPDATE_SEED)} ELSE listing_price END AS listing_price
 FROM listings""",
         "full_batch_run": full_run + f"\nSELECT {LCOLS} FROM r_updated",
+        # peer averages kept through the run: the aggregate over the table after it
+        "kept_peer_sums": full_run
+        + "\nUNION ALL\n".join(
+            f"\nSELECT city, property_type, '{kind}' AS bin_kind, {column} AS bin, "
+            "CAST(coalesce(sum(listing_price), 0) AS DECIMAL(38,2)) AS price_sum, "
+            "count(listing_price) AS priced, count(*) AS listings FROM r_updated GROUP BY city, property_type, " + column
+            for kind, column in (("sqft", "sqft_range"), ("age", "age_range"))
+        ),
+        "kept_compare_by_sqft": _compare("sqft_range", full_run, "r_updated"),
+        "kept_overlay_by_age": _overlay("age_range", full_run, "r_updated"),
+        "kept_price_vs_age_peers": _peers("age_range", full_run, "r_updated"),
     }

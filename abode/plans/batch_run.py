@@ -8,11 +8,8 @@ transform; the run produces one snapshot, written once to a new path by
 
 from __future__ import annotations
 
-import os
-import posixpath
 from dataclasses import dataclass
 from decimal import Decimal
-from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +18,15 @@ from pyspark.sql import functions as F
 from abode import functions as AF
 from abode.operators.churn import draw_pct, sample_cut
 from abode.operators.enrich import enrich
+from abode.operators.peers import apply_changes, peer_changes, peer_state
 from abode.operators.snapshot import high_water_mark, new_listings
-from abode.schemas import LISTING_COLUMNS
+from abode.plans.locations import check_outputs, path_exists, same_path  # noqa: F401 - same_path for callers
+from abode.schemas import LISTING_COLUMNS, PEER_STATE, PRICE_TYPE
 from abode.sinks import write_snapshot
 from abode.sources.files import read_raw_jsonl, read_snapshot
 
 MARK_SUFFIX = ".id_mark"  # the mark stands beside the snapshot's folder and is there before it
+PEERS_SUFFIX = ".peers"  # so do the sums behind its peer averages
 
 
 @dataclass(frozen=True)
@@ -45,13 +45,23 @@ class RunChanges:
     insert ``new_rows``, delete ``deleted_keys`` (which may include rows
     inserted by the same run), then set ``price_delta``. A table format with
     ``MERGE`` can apply them in place instead of rewriting the snapshot.
+    ``deleted_rows`` and ``repriced_rows`` are the same changes with all columns
+    as they were before, ``new_price`` beside them: what sums kept over the table need.
     """
 
     new_rows: DataFrame
-    deleted_keys: DataFrame
-    price_delta: DataFrame
+    deleted_rows: DataFrame
+    repriced_rows: DataFrame
     new_mark: int
 
+    @property
+    def deleted_keys(self) -> DataFrame:
+        return self.deleted_rows.select("listing_id")
+
+    @property
+    def price_delta(self) -> DataFrame:
+        return self.repriced_rows.select("listing_id", F.col("new_price").alias("listing_price"))
+
 
 def plan_run(
     current: DataFrame, raw_batch: DataFrame, id_mark: int | None, config: RunConfig
@@ -78,8 +88,8 @@ def plan_run(
     )
     changes = RunChanges(
         new_rows=fresh,
-        deleted_keys=inserted.filter(deleted).select("listing_id"),
-        price_delta=after_delete.filter(updated).select("listing_id", new_price.alias("listing_price")),
+        deleted_rows=inserted.filter(deleted),
+        repriced_rows=after_delete.filter(updated).withColumn("new_price", new_price.cast(PRICE_TYPE)),
         new_mark=mark + added,
     )
     return snapshot, changes
@@ -147,25 +157,12 @@ def write_mark(spark: SparkSession, snapshot_path: str, mark: int, writer: str =
     row.write.mode("overwrite").parquet(snapshot_path.rstrip("/") + MARK_SUFFIX)
 
 
-def same_path(a: str, b: str) -> bool:
-    """Whether two paths name one place: ``file:`` and repeated slashes, ``.`` and ``..`` don't matter."""
-
-    def plain(path: str) -> tuple[str, str, str]:
-        parts = urlsplit(path)
-        scheme = "" if parts.scheme == "file" else parts.scheme
-        return scheme, parts.netloc, posixpath.normpath("/" + parts.path) if scheme else os.path.abspath(parts.path)
-
-    return plain(a) == plain(b)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+def read_peers(spark: SparkSession, snapshot_path: str) -> DataFrame:
+    """Sums behind the peer averages of a snapshot: as stored beside it, or worked out if they aren't."""
+    path = snapshot_path.rstrip("/") + PEERS_SUFFIX
+    if path_exists(spark, path):
+        return spark.read.schema(PEER_STATE).parquet(path)
+    return peer_state(read_snapshot(spark, snapshot_path))
 
 
 def write_run(
@@ -177,26 +174,51 @@ def write_run(
     partition_by_city: bool = False,
     mode: str = "errorifexists",
     archive_out: str | None = None,
+    peers: bool = False,
 ) -> int:
     """Read snapshot and JSON batch, run, write the new snapshot and id mark.
 
     The id mark (largest id ever issued) is stored next to the data so ids of
     deleted rows are never issued again. With ``archive_out`` the enriched
-    batch is also kept as a Parquet archive. ``mode`` holds for both outputs, so
+    batch is also kept as a Parquet archive. With ``peers`` the sums behind the
+    peer averages are brought from those beside ``snapshot_in`` to those of the new
+    snapshot by the run's changes (see :mod:`abode.operators.peers`). ``mode`` holds for all outputs, so
     a retry with ``mode="overwrite"`` can repeat a run that broke off anywhere.
+    Before anything is written, every output is compared by its real location with the
+    inputs and the other outputs, and must not exist unless ``mode`` says so.
     Returns the new mark.
     """
-    if same_path(snapshot_out, snapshot_in):
-        raise ValueError("a run must write a new snapshot path, not the one it reads")
+
+    def beside(path: str, suffix: str) -> str:
+        return path.rstrip("/") + suffix
+
+    outputs = {
+        "snapshot_out": snapshot_out,
+        "its id mark": beside(snapshot_out, MARK_SUFFIX),
+        "its peer sums": beside(snapshot_out, PEERS_SUFFIX),
+        "archive_out": archive_out,
+    }
+    inputs = {
+        "snapshot_in": snapshot_in,
+        "the id mark read": beside(snapshot_in, MARK_SUFFIX),
+        "the peer sums read": beside(snapshot_in, PEERS_SUFFIX),
+        "batch_path": batch_path,
+    }
+    check_outputs(spark, inputs, outputs)
+    if mode == "errorifexists":
+        for name, path in (("snapshot_out", snapshot_out), ("archive_out", archive_out)):
+            if path and path_exists(spark, path):
+                raise FileExistsError(f"{name} {path} exists; a run writes a new path, or repeats one with mode='overwrite'")
     current = read_snapshot(spark, snapshot_in)
     stored = read_mark(spark, snapshot_in)
     mark = stored if stored is not None else high_water_mark(current)
     raw_batch = read_raw_jsonl(spark, batch_path)
     if archive_out:
         write_snapshot(enrich(raw_batch), archive_out, sort_by_address=False, mode=mode)
-    result, new_mark = run_batch(current, raw_batch, mark, config)
-    if mode == "errorifexists" and path_exists(spark, snapshot_out):
-        raise FileExistsError(f"{snapshot_out} exists; a run writes a new path, or repeats one with mode='overwrite'")
-    write_mark(spark, snapshot_out, new_mark)
+    result, changes = plan_run(current, raw_batch, mark, config)
+    write_mark(spark, snapshot_out, changes.new_mark)
+    if peers:
+        sums = apply_changes(read_peers(spark, snapshot_in), peer_changes(changes.new_rows, changes.deleted_rows, changes.repriced_rows))
+        sums.write.mode("overwrite").parquet(beside(snapshot_out, PEERS_SUFFIX))
     write_snapshot(result, snapshot_out, partition_by_city=partition_by_city, mode=mode)
-    return new_mark
+    return changes.new_mark

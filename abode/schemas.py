@@ -87,3 +87,16 @@ PRICE_DELTA = T.StructType(
         T.StructField("listing_price", PRICE_TYPE),
     ]
 )
+
+# Sums behind the peer averages: one row per (city, type, kind of range, range).
+PEER_STATE = T.StructType(
+    [
+        T.StructField("city", T.StringType()),
+        T.StructField("property_type", T.StringType()),
+        T.StructField("bin_kind", T.StringType()),
+        T.StructField("bin", T.StringType()),
+        T.StructField("price_sum", T.DecimalType(38, 2)),
+        T.StructField("priced", T.LongType()),
+        T.StructField("listings", T.LongType()),
+    ]
+)

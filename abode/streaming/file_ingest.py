@@ -10,7 +10,8 @@ Each micro-batch runs :func:`abode.plans.batch_run.run_batch` against the
 previous snapshot version and writes version ``v=<epoch>``. The output path is
 a function of the epoch, so a re-executed epoch rewrites its own version and
 never the one it reads. A stream with a new checkpoint would count epochs from 0
-again; it is refused where another checkpoint has written versions.
+again, also one recreated in the place of an old checkpoint. Versions carry the
+stream's own id, which stands in its checkpoint, and a stream with another id is refused.
 """
 
 from __future__ import annotations
@@ -19,8 +20,10 @@ from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from abode.plans.batch_run import RunConfig, mark_writer, read_mark, run_batch, write_mark
+from abode.plans.batch_run import MARK_SUFFIX, RunConfig, mark_writer, read_mark, run_batch, write_mark
+from abode.plans.locations import check_outputs
 from abode.schemas import LISTINGS, RAW_JSON
 from abode.sinks import write_snapshot
 from abode.sources.files import read_snapshot
@@ -44,6 +47,12 @@ def version_path(root: str, epoch: int) -> str:
     return f"{root.rstrip('/')}/v={epoch}"
 
 
+def stream_id(spark: SparkSession, checkpoint_location: str) -> str:
+    """Id of the stream whose progress the checkpoint holds; a new checkpoint has a new one."""
+    text = spark.read.text(f"{checkpoint_location.rstrip('/')}/metadata", wholetext=True)
+    return text.select(F.get_json_object("value", "$.id")).first()[0]
+
+
 def _previous(spark: SparkSession, cfg: IngestConfig, epoch: int) -> tuple[DataFrame, int | None]:
     if epoch > 0:
         path = version_path(cfg.snapshot_root, epoch - 1)
@@ -62,9 +71,12 @@ def _run_seed(base: int, epoch: int) -> int:
 def process_batch(cfg: IngestConfig):
     def handle(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        out, writer = version_path(cfg.snapshot_root, epoch), cfg.checkpoint_location.rstrip("/")
+        out, writer = version_path(cfg.snapshot_root, epoch), stream_id(spark, cfg.checkpoint_location)
         if mark_writer(spark, out) not in (None, writer):
             raise RuntimeError(f"{out} was written by another checkpoint; use that one or a new snapshot_root")
+        before = version_path(cfg.snapshot_root, epoch - 1) if epoch else cfg.initial_snapshot
+        inputs = {"the version read": before, "landing_dir": cfg.landing_dir, "checkpoint_location": cfg.checkpoint_location}
+        check_outputs(spark, inputs, {"the version written": out, "its id mark": out + MARK_SUFFIX})
         current, mark = _previous(spark, cfg, epoch)
         run_cfg = RunConfig(
             _run_seed(cfg.delete_seed, epoch),
