@@ -27,6 +27,7 @@ from abode.params import (
     UNKNOWN_PRICE,
     UPDATE_SEED,
 )
+from abode.plans import bucketed
 from abode.plans.batch_run import RunConfig, plan_run, run_batch
 from abode.schemas import ENRICHED, LISTING_COLUMNS, PEER_STATE, PRICE_TYPE, RAW_JSON
 from abode.session import scratch_path
@@ -318,6 +319,32 @@ def q_kept_price_vs_age_peers(spark, sf_dir):
     return peers.price_vs_kept_peers(table, state, "age")
 
 
+BUCKETS = 16  # of the test tables; a cluster's snapshot has as many as hold some hundred MB each
+
+
+def bucketed_listings(spark: SparkSession, table: DataFrame) -> bucketed.BucketedSnapshot:
+    path = scratch_path(spark, "bucketed")
+    bucketed.write_bucketed(table, path, BUCKETS)
+    return bucketed.read_bucketed(spark, path)
+
+
+def q_bucketed_insert_ignore(spark, sf_dir):
+    current, batch = current_and_batch(spark, sf_dir)
+    return bucketed.insert_ignore_bucketed(bucketed_listings(spark, current), batch)
+
+
+def q_bucketed_delete_by_key(spark, sf_dir):
+    snap = bucketed_listings(spark, listings(spark, sf_dir))
+    keys = _with_unknown_id(snap.listings, churn.churn_delete_keys(snap.listings, DELETE_SEED, PCT))
+    return bucketed.delete_by_key_bucketed(snap, keys)
+
+
+def q_bucketed_upsert_price(spark, sf_dir):
+    snap = bucketed_listings(spark, listings(spark, sf_dir))
+    delta = _with_unknown_id(snap.listings, churn.reprice_sample(snap.listings, UPDATE_SEED, PCT), UNKNOWN_PRICE)
+    return bucketed.upsert_price_bucketed(snap, delta)
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_raw_jsonl": q_scan_raw_jsonl,
@@ -368,6 +395,9 @@ def queries() -> dict[str, Query]:
         "kept_compare_by_sqft": _kept(peers.compare_kept, "sqft"),
         "kept_overlay_by_age": _kept(peers.overlay_kept, "age"),
         "kept_price_vs_age_peers": q_kept_price_vs_age_peers,
+        "bucketed_insert_ignore": q_bucketed_insert_ignore,
+        "bucketed_delete_by_key": q_bucketed_delete_by_key,
+        "bucketed_upsert_price": q_bucketed_upsert_price,
     }
 
 

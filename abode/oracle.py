@@ -233,6 +233,10 @@ FROM listings l FULL OUTER JOIN delta d ON l.listing_id = d.listing_id"""
 def oracle_sql() -> dict[str, str]:
     churn_listings = _churn_ctes("listings", "l")
     full_run = BASE + INSERT_CTES + _churn_ctes("inserted", "r")
+    delete_by_key = (
+        f"{BASE}\nSELECT {LCOLS} FROM listings WHERE listing_id NOT IN "
+        f"(SELECT listing_id FROM ({_sample_keys('listings', DELETE_SEED, PCT)}) k UNION ALL SELECT {UNKNOWN_ID_SQL})"
+    )
     return {
         # sources and sinks
         "scan_raw_jsonl": f"{BASE}\n{ENRICHED_SELECT}",
@@ -299,9 +303,7 @@ WHERE address IS NULL OR (k = 1 AND address NOT IN (SELECT address FROM cur WHER
         "churn_delete_keys": f"{BASE}\n{_sample_keys('listings', DELETE_SEED, PCT)}",
         "churn_delete_rows": f"{BASE}\nSELECT {LCOLS} FROM listings WHERE listing_id IN "
         f"({_sample_keys('listings', DELETE_SEED, PCT)})",
-        "delete_by_key": f"{BASE}\nSELECT {LCOLS} FROM listings WHERE listing_id NOT IN "
-        f"(SELECT listing_id FROM ({_sample_keys('listings', DELETE_SEED, PCT)}) k "
-        f"UNION ALL SELECT {UNKNOWN_ID_SQL})",
+        "delete_by_key": delete_by_key,
         "apply_churn_delete": BASE + churn_listings + f"\nSELECT {LCOLS} FROM l_deleted",
         "reprice_sample": f"{BASE}\nSELECT listing_id, {_new_price(UPDATE_SEED)} AS listing_price "
         f"FROM listings WHERE listing_id IN ({_sample_keys('listings', UPDATE_SEED, PCT)})",
@@ -324,5 +326,9 @@ FROM listings""",
         ),
         "kept_compare_by_sqft": _compare("sqft_range", full_run, "r_updated"),
         "kept_overlay_by_age": _overlay("age_range", full_run, "r_updated"),
+        # the same changes on tables laid out in buckets
+        "bucketed_insert_ignore": BASE + INSERT_CTES + f"\nSELECT {LCOLS} FROM inserted",
+        "bucketed_delete_by_key": delete_by_key,
+        "bucketed_upsert_price": BASE + UPSERT_SQL,
         "kept_price_vs_age_peers": _peers("age_range", full_run, "r_updated"),
     }
