@@ -27,7 +27,7 @@ from abode.params import (
     UNKNOWN_PRICE,
     UPDATE_SEED,
 )
-from abode.plans import bucketed
+from abode.plans import bucketed, in_place
 from abode.plans.batch_run import RunConfig, plan_run, run_batch
 from abode.schemas import ENRICHED, LISTING_COLUMNS, PEER_STATE, PRICE_TYPE, RAW_JSON
 from abode.session import scratch_path
@@ -319,7 +319,7 @@ def q_kept_price_vs_age_peers(spark, sf_dir):
     return peers.price_vs_kept_peers(table, state, "age")
 
 
-BUCKETS = 16  # of the test tables; a cluster's snapshot has as many as hold some hundred MB each
+BUCKETS, PARTS = 16, 32  # of the test tables; a cluster's snapshot has as many as hold some hundred MB each
 
 
 def bucketed_listings(spark: SparkSession, table: DataFrame) -> bucketed.BucketedSnapshot:
@@ -345,6 +345,18 @@ def q_bucketed_upsert_price(spark, sf_dir):
     return bucketed.upsert_price_bucketed(snap, delta)
 
 
+def q_change_in_place(spark, sf_dir):
+    """Corrections by key: the selected listing goes, listings with street number 1 get a new price."""
+    path = scratch_path(spark, "in_parts")
+    in_place.write_parts(listings(spark, sf_dir), path, PARTS)
+    table = in_place.read_parts(spark, path)
+    gone = table.where(F.col("address") == SELECTED_ADDRESS).select("listing_id")
+    dearer = table.where("street_number = 1").select("listing_id", (F.col("listing_price") + 1).cast(PRICE_TYPE).alias("listing_price"))
+    dearer = dearer.join(gone, "listing_id", "left_anti")
+    in_place.change_in_place(spark, path, gone, dearer)
+    return in_place.read_parts(spark, path).select(*LISTING_COLUMNS)
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_raw_jsonl": q_scan_raw_jsonl,
@@ -395,6 +407,7 @@ def queries() -> dict[str, Query]:
         "kept_compare_by_sqft": _kept(peers.compare_kept, "sqft"),
         "kept_overlay_by_age": _kept(peers.overlay_kept, "age"),
         "kept_price_vs_age_peers": q_kept_price_vs_age_peers,
+        "change_in_place": q_change_in_place,
         "bucketed_insert_ignore": q_bucketed_insert_ignore,
         "bucketed_delete_by_key": q_bucketed_delete_by_key,
         "bucketed_upsert_price": q_bucketed_upsert_price,

@@ -326,6 +326,8 @@ FROM listings""",
         ),
         "kept_compare_by_sqft": _compare("sqft_range", full_run, "r_updated"),
         "kept_overlay_by_age": _overlay("age_range", full_run, "r_updated"),
+        "change_in_place": f"{BASE}\nSELECT * REPLACE (CAST(CASE WHEN street_number = 1 THEN listing_price + 1 ELSE listing_price END "
+        f"AS DECIMAL(12,2)) AS listing_price) FROM (SELECT {LCOLS} FROM listings) WHERE address IS DISTINCT FROM {_q(SELECTED_ADDRESS)}",
         # the same changes on tables laid out in buckets
         "bucketed_insert_ignore": BASE + INSERT_CTES + f"\nSELECT {LCOLS} FROM inserted",
         "bucketed_delete_by_key": delete_by_key,
