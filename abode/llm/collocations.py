@@ -35,6 +35,7 @@ TILE = 512
 #: Pairs from which a tile is counted by direct address.
 FULL = TILE * TILE // 16
 LEAST, LONGEST, TOP = 30, 4, 2000
+SHARES = 16
 UNKNOWN = "und"
 
 #: Characters that end a piece, as one of them.
@@ -298,8 +299,12 @@ def collocations(
     for phrases, longer in zip(found, [*found[1:], None]):
         one = _scored(phrases, longer)
         rows = one if rows is None else rows.unionByName(one)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # first by shares of a language, so that the task that ranks it reads SHARES x top rows at most
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    rows = rows.withColumn("_in_share", F.row_number().over(Window.partitionBy("lang", share).orderBy(*order)))
+    rows = rows.where(F.col("_in_share") <= top)
+    best = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return best.join(total, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
