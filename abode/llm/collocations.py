@@ -274,7 +274,8 @@ def collocations(
         .agg(F.sum("_w.counts").alias("a"))
         .where(F.col("a") >= least)
     )
-    units = _ranked(words, ["word"]).select(
+    # stored, so that the shuffle files of the counts go before the next step
+    units = _ranked(stored(words, "words"), ["word"]).select(
         "unit", "lang", "a", "word", F.array("word").alias("words"), F.array("a").alias("heads"), F.array("a").alias("tails")
     )
     requests = listed.select("chunk", "place", "lang", F.col("_w.words").alias("word"))
@@ -286,7 +287,7 @@ def collocations(
     for length in range(2, LONGEST + 1):
         counted = coded.mapInArrow(_count, "chunk long, place int, first long, second long, n long")
         counts = counted.groupBy("first", "second").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-        phrases = _ranked(_longer(counts, units), ["first", "second"])
+        phrases = _ranked(_longer(stored(counts, f"counts_{length}"), units), ["first", "second"])
         found.append(phrases)
         if length < LONGEST:
             requests = counted.select("chunk", "place", "first", "second")
