@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from abode import functions as AF
-from abode.operators import churn, peers, reports, snapshot
+from abode.operators import churn, peers, reports, search_index, snapshot
 from abode.operators.enrich import cast_columns, enrich
 from abode.params import (
     AS_OF,
@@ -357,6 +357,12 @@ def q_change_in_place(spark, sf_dir):
     return in_place.read_parts(spark, path).select(*LISTING_COLUMNS)
 
 
+def q_address_search_indexed(spark, sf_dir):
+    path = scratch_path(spark, "search_index")
+    search_index.write_search_index(listings(spark, sf_dir), path, BUCKETS, PARTS)
+    return search_index.search_by_index(spark, path, SEARCH_TERM)
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_raw_jsonl": q_scan_raw_jsonl,
@@ -407,6 +413,7 @@ def queries() -> dict[str, Query]:
         "kept_compare_by_sqft": _kept(peers.compare_kept, "sqft"),
         "kept_overlay_by_age": _kept(peers.overlay_kept, "age"),
         "kept_price_vs_age_peers": q_kept_price_vs_age_peers,
+        "address_search_indexed": q_address_search_indexed,
         "change_in_place": q_change_in_place,
         "bucketed_insert_ignore": q_bucketed_insert_ignore,
         "bucketed_delete_by_key": q_bucketed_delete_by_key,

@@ -17,16 +17,19 @@ from decimal import ROUND_HALF_EVEN, Decimal
 
 import numpy as np
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from abode import functions as AF
+from abode.plans.materialize import materialize
 
 # A share of the table: a Decimal, or text/float converted exactly via str().
 Share = Decimal | str | float
 
 # Hex digits added per histogram level (16**4 = 65,536 buckets per level).
 PREFIX_STEP = 4
+# Candidates kept for a sample, as a multiple of its share.
+CANDIDATE_MARGIN = 2
 # A boundary bucket at most this large is resolved by a bounded top-k.
 BOUNDARY_MAX_ROWS = 200_000
 
@@ -163,6 +166,45 @@ def sample_cut(table: DataFrame, seed: int, pct: Share, key: str = "listing_id")
     return _cut(scope, hist, sample_size(int(hist[1].sum()), pct), seed, key)
 
 
+def _below(key: str, seed: int, pct: Share) -> Column:
+    """Whether a key's hash is in the first ``CANDIDATE_MARGIN`` times ``pct`` of all hashes, to four digits."""
+    buckets = 16**PREFIX_STEP
+    limit = int(Decimal(buckets) * CANDIDATE_MARGIN * Decimal(str(pct))) + 1
+    if limit >= buckets:
+        return F.lit(True)
+    return F.substring(AF.sample_hash(key, seed), 1, PREFIX_STEP) < F.lit(f"{limit:0{PREFIX_STEP}x}")
+
+
+def churn_cuts(
+    table: DataFrame, delete_seed: int, delete_pct: Share, update_seed: int, update_pct: Share, key: str = "listing_id"
+) -> tuple[SampleCut, SampleCut]:
+    """Cuts of the delete sample and of the re-price sample, drawn from what the deletes leave.
+
+    The same cuts as :func:`sample_cut` on the table and then on the table without the
+    first sample, from one pass over its keys instead of two for each. The pass counts the keys
+    and stores those whose hash for either seed is small enough that the sample lies
+    among them: a few per cent of the keys. Both cuts are then found there, the
+    second among the keys that the first leaves. Hashes are spread evenly, so a
+    sample passes its candidates only in small tables; it is then cut from the table itself.
+    """
+    seen = Observation()
+    keys = table.select(F.col(key)).where(F.col(key).isNotNull()).observe(seen, F.count(F.lit(1)).alias("n"))
+    first, second = _below(key, delete_seed, delete_pct), _below(key, update_seed, update_pct)
+    held = materialize(keys.where(first | second))
+    n = int(seen.get["n"])
+
+    def among(few: DataFrame, whole: DataFrame, k: int, seed: int) -> SampleCut:
+        scope = _scope(few, seed, key)
+        hist = _histogram(scope, PREFIX_STEP)
+        return _cut(scope, hist, k, seed, key) if int(hist[1].sum()) >= k else find_cut(whole, seed, k, key)
+
+    deletes = sample_size(n, delete_pct)
+    gone = among(held.where(first), table, deletes, delete_seed)
+    updates = sample_size(n - min(n, deletes), update_pct)
+    left = held.where(second & ~gone.predicate())
+    return gone, among(left, table.where(~gone.predicate()), updates, update_seed)
+
+
 def churn_delete_keys(table: DataFrame, seed: int, pct: Share) -> DataFrame:
     """The sampled keys (``listing_id``) chosen for deletion."""
     cut = sample_cut(table, seed, pct)

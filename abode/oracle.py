@@ -233,6 +233,9 @@ FROM listings l FULL OUTER JOIN delta d ON l.listing_id = d.listing_id"""
 def oracle_sql() -> dict[str, str]:
     churn_listings = _churn_ctes("listings", "l")
     full_run = BASE + INSERT_CTES + _churn_ctes("inserted", "r")
+    address_search = (
+        f"{BASE}\nSELECT listing_id, address FROM listings WHERE contains(lower(address), lower({_q(SEARCH_TERM)}))"
+    )
     delete_by_key = (
         f"{BASE}\nSELECT {LCOLS} FROM listings WHERE listing_id NOT IN "
         f"(SELECT listing_id FROM ({_sample_keys('listings', DELETE_SEED, PCT)}) k UNION ALL SELECT {UNKNOWN_ID_SQL})"
@@ -267,8 +270,8 @@ def oracle_sql() -> dict[str, str]:
         "photoset_bucket": f"{BASE}\nSELECT listing_id, address, "
         f"{_hex_bucket('address', 3)} + 1 AS photoset FROM listings",
         "address_options": f"{BASE}\nSELECT address FROM listings WHERE address IS NOT NULL ORDER BY address",
-        "address_search": f"{BASE}\nSELECT listing_id, address FROM listings "
-        f"WHERE contains(lower(address), lower({_q(SEARCH_TERM)}))",
+        "address_search": address_search,
+        "address_search_indexed": address_search,
         "similar_listings": BASE
         + _segment_cte()
         + f"\nSELECT {', '.join('l.' + c for c in LISTING_COLUMNS)} FROM listings l "

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abode import functions as AF
-from abode.operators.churn import draw_pct, sample_cut
+from abode.operators.churn import churn_cuts, draw_pct
 from abode.operators.enrich import enrich
 from abode.operators.peers import apply_changes, peer_changes, peer_state
 from abode.operators.snapshot import high_water_mark, new_listings
@@ -68,8 +68,8 @@ def plan_run(
 ) -> tuple[DataFrame, RunChanges]:
     """New snapshot (lazy) and the run's change sets.
 
-    The samples are drawn with :func:`abode.operators.churn.sample_cut`, so
-    both the snapshot and the change sets are plain filters and projections
+    Both samples are found with :func:`abode.operators.churn.churn_cuts`, in one
+    pass over the keys, so both the snapshot and the change sets are plain filters and projections
     of the same inputs: no join against the table is needed for either.
     """
     enriched = enrich(raw_batch)
@@ -79,9 +79,9 @@ def plan_run(
     delete_pct = config.delete_pct if config.delete_pct is not None else draw_pct(config.delete_seed)
     update_pct = config.update_pct if config.update_pct is not None else draw_pct(config.update_seed)
 
-    deleted = sample_cut(inserted, config.delete_seed, delete_pct).predicate()
+    delete_cut, update_cut = churn_cuts(inserted, config.delete_seed, delete_pct, config.update_seed, update_pct)
+    deleted, updated = delete_cut.predicate(), update_cut.predicate()
     after_delete = inserted.filter(~deleted)
-    updated = sample_cut(after_delete, config.update_seed, update_pct).predicate()
     new_price = AF.repriced("listing_price", AF.reprice_factor("listing_id", config.update_seed))
     snapshot = after_delete.withColumn(
         "listing_price", F.when(updated, new_price).otherwise(F.col("listing_price"))
