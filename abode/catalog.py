@@ -357,6 +357,12 @@ def q_change_in_place(spark, sf_dir):
     return in_place.read_parts(spark, path).select(*LISTING_COLUMNS)
 
 
+def q_listing_lookup_bloom(spark, sf_dir):
+    path = scratch_path(spark, "with_bloom")
+    write_snapshot(listings(spark, sf_dir), path, bloom_addresses=100_000)
+    return reports.listing_lookup(read_snapshot(spark, path), SELECTED_ADDRESS)
+
+
 def q_address_search_indexed(spark, sf_dir):
     path = scratch_path(spark, "search_index")
     search_index.write_search_index(listings(spark, sf_dir), path, BUCKETS, PARTS)
@@ -413,6 +419,7 @@ def queries() -> dict[str, Query]:
         "kept_compare_by_sqft": _kept(peers.compare_kept, "sqft"),
         "kept_overlay_by_age": _kept(peers.overlay_kept, "age"),
         "kept_price_vs_age_peers": q_kept_price_vs_age_peers,
+        "listing_lookup_bloom": q_listing_lookup_bloom,
         "address_search_indexed": q_address_search_indexed,
         "change_in_place": q_change_in_place,
         "bucketed_insert_ignore": q_bucketed_insert_ignore,

@@ -187,11 +187,11 @@ def churn_cuts(
     second among the keys that the first leaves. Hashes are spread evenly, so a
     sample passes its candidates only in small tables; it is then cut from the table itself.
     """
+    first, second = _below(key, delete_seed, delete_pct), _below(key, update_seed, update_pct)
     seen = Observation()
     keys = table.select(F.col(key)).where(F.col(key).isNotNull()).observe(seen, F.count(F.lit(1)).alias("n"))
-    first, second = _below(key, delete_seed, delete_pct), _below(key, update_seed, update_pct)
     held = materialize(keys.where(first | second))
-    n = int(seen.get["n"])
+    n = int(seen.get.get("n", 0))  # missing where the optimizer finds the table empty
 
     def among(few: DataFrame, whole: DataFrame, k: int, seed: int) -> SampleCut:
         scope = _scope(few, seed, key)

@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abode.plans.joins import bounded_broadcast, fits_broadcast
-from abode.plans.materialize import materialize
+from abode.plans.joins import bounded_broadcast, measured_bytes, within_bound
+from abode.plans.materialize import materialize, materialize_counted
 from abode.schemas import LISTING_COLUMNS, LISTINGS, PRICE_TYPE
 
 _LISTING_TYPES = {f.name: f.dataType for f in LISTINGS.fields}
@@ -138,11 +138,17 @@ def new_listings(
     splits into street and city.
     """
     order = list(order_by or default_order(batch))
-    unique = materialize(dedup_by_address(batch, order))
-    n_unique = unique.count()
+    # counted while it is written: all rows, and those with an address and their characters
+    unique, seen = materialize_counted(
+        dedup_by_address(batch, order),
+        n=F.count(F.lit(1)),
+        rows=F.count("address"),
+        chars=F.sum(F.octet_length("address").cast("bigint")),
+    )
+    n_unique = seen.get("n", 0)
     batch_keys = unique.select("address").filter(F.col("address").isNotNull())
     taken = current.select("address")
-    if fits_broadcast(batch_keys):
+    if within_bound(measured_bytes(batch_keys.schema, seen)):
         # at most as many addresses as the measured batch holds
         taken = F.broadcast(taken.join(F.broadcast(batch_keys), "address", "left_semi").distinct())
     fresh = unique.join(taken, "address", "left_anti")

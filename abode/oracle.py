@@ -233,6 +233,7 @@ FROM listings l FULL OUTER JOIN delta d ON l.listing_id = d.listing_id"""
 def oracle_sql() -> dict[str, str]:
     churn_listings = _churn_ctes("listings", "l")
     full_run = BASE + INSERT_CTES + _churn_ctes("inserted", "r")
+    lookup = f"{BASE}\nSELECT {LCOLS} FROM listings WHERE address = {_q(SELECTED_ADDRESS)}"
     address_search = (
         f"{BASE}\nSELECT listing_id, address FROM listings WHERE contains(lower(address), lower({_q(SEARCH_TERM)}))"
     )
@@ -259,7 +260,8 @@ def oracle_sql() -> dict[str, str]:
         "project_keys": f"{BASE}\nSELECT listing_id FROM listings",
         # reports
         "listing_count": f"{BASE}\nSELECT count(*) AS listing_count FROM listings",
-        "listing_lookup": f"{BASE}\nSELECT {LCOLS} FROM listings WHERE address = {_q(SELECTED_ADDRESS)}",
+        "listing_lookup": lookup,
+        "listing_lookup_bloom": lookup,
         "listing_detail": f"{BASE}\nSELECT {LCOLS}, {DAYS_SQL} AS days_on_market, "
         f"{PRICE_TEXT_SQL} AS price_text, {BOOL_TEXT_SQL} AS finished_basement_text FROM listings",
         "listing_card": f"{BASE}\nSELECT address, number_bedrooms, property_type, {PRICE_TEXT_SQL} AS price_text, "

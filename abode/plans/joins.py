@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from abode.plans.materialize import materialize
+from abode.plans.materialize import materialize_counted
 
 # Largest side (measured bytes: fixed widths plus actual string lengths) shipped to every
 # executor. Above it the join is a shuffle join with AQE skew splitting.
@@ -33,25 +33,38 @@ def row_width(schema: T.StructType) -> int:
     return width
 
 
+def size_metrics(schema: T.StructType) -> dict[str, Column]:
+    """Aggregates behind :func:`measured_bytes`: rows, and characters of the strings as they are."""
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    chars = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in texts), F.lit(0))
+    return {"rows": F.count(F.lit(1)), "chars": F.sum(chars.cast("bigint"))}
+
+
+def measured_bytes(schema: T.StructType, metrics: dict) -> int:
+    return metrics.get("rows", 0) * row_width(schema) + (metrics.get("chars") or 0)
+
+
 def measure(df: DataFrame) -> tuple[int, int]:
     """Rows of ``df`` and their bytes, string lengths as they are; one aggregate."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    sums = [F.sum(F.coalesce(F.octet_length(c), F.lit(0))) for c in texts]
-    row = df.agg(F.count(F.lit(1)), *sums).collect()[0]
-    return row[0], row[0] * row_width(df.schema) + sum(v or 0 for v in row[1:])
+    row = df.agg(*[column.alias(name) for name, column in size_metrics(df.schema).items()]).collect()[0].asDict()
+    return row["rows"], measured_bytes(df.schema, row)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
-    return measure(df)[1] <= (BROADCAST_MAX_BYTES if max_bytes is None else max_bytes)
+    return within_bound(measure(df)[1], max_bytes)
+
+
+def within_bound(size: int, max_bytes: int | None = None) -> bool:
+    return size <= (BROADCAST_MAX_BYTES if max_bytes is None else max_bytes)
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
-    """Materialize ``df``, measure it, and broadcast it only when small enough.
+    """Materialize ``df``, measure it on the way, and broadcast it only when small enough.
 
     Returns the (materialized) frame, hinted for broadcast when its measured
     bytes are at most ``max_bytes``, and whether the hint was applied. Above the bound the frame is returned unhinted, so the join
     falls back to a shuffle join.
     """
-    df = materialize(df)
-    small = fits_broadcast(df, max_bytes)
+    df, metrics = materialize_counted(df, **size_metrics(df.schema))
+    small = within_bound(measured_bytes(df.schema, metrics), max_bytes)
     return (F.broadcast(df) if small else df), small

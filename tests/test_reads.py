@@ -1,0 +1,84 @@
+"""What point lookups read, and how many jobs a run takes."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from abode import catalog
+from abode.operators import reports, snapshot
+from abode.plans import joins
+from abode.plans.materialize import materialize_counted
+from abode.sinks import write_snapshot
+from abode.sources import read_snapshot
+from tests.conftest import SF_SMALL
+
+
+def scan_rows(df):
+    """Rows the file scans of an executed plan put out."""
+    df.collect()
+    found = 0
+
+    def walk(node):
+        nonlocal found
+        if node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().get("numOutputRows").get().value()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            walk(node.executedPlan())
+        children = node.children().iterator()
+        while children.hasNext():
+            walk(children.next())
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def jobs(spark, run):
+    """Spark jobs that ``run`` starts."""
+    group = f"count-{id(run)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_bloom_filter_skips_row_groups(spark, scratch):
+    table = spark.range(60_000).select(
+        F.col("id").alias("listing_id"), F.concat(F.xxhash64("id").cast("string"), F.lit(" Main, X")).alias("address")
+    )
+    table = table.repartition(8)
+    # every file covers the whole range of addresses, so that least and greatest can't exclude it
+    full = spark.createDataFrame([], catalog.read_snapshot(spark, SF_SMALL + "/orders.parquet").schema)
+    rows = table.unionByName(full, allowMissingColumns=True)
+    plain, bloom = scratch("plain"), scratch("bloom")
+    write_snapshot(rows, plain)
+    write_snapshot(rows, bloom, bloom_addresses=10_000)
+    address = table.where("listing_id = 4711").first()["address"]
+    lookups = [reports.listing_lookup(read_snapshot(spark, p), address) for p in (plain, bloom)]
+    read = [scan_rows(df) for df in lookups]
+    assert [r["listing_id"] for df in lookups for r in df.collect()] == [4711, 4711]
+    assert read[1] < read[0] / 2
+    assert scan_rows(reports.listing_lookup(read_snapshot(spark, bloom), "0 Nowhere, X")) < 30_000
+
+
+def test_counted_on_the_way(spark):
+    df, seen = materialize_counted(spark.range(100).withColumn("t", F.lit("ab")), **joins.size_metrics(spark.range(1).withColumn("t", F.lit("")).schema))
+    assert seen == {"rows": 100, "chars": 200} and df.count() == 100
+    assert joins.measure(df) == (100, 100 * joins.row_width(df.schema) + 200)
+    empty = spark.createDataFrame([], "a string")
+    side, small = joins.bounded_broadcast(empty)
+    assert small and side.count() == 0
+
+
+def test_a_measured_broadcast_is_one_job(spark):
+    df = spark.range(1000).withColumn("t", F.lit("x"))
+    assert jobs(spark, lambda: joins.bounded_broadcast(df)) == jobs(spark, lambda: df.checkpoint())
+
+
+@pytest.mark.parametrize("bound, broadcast", [(None, True), (0, False)])
+def test_insert_takes_the_side_its_size_says(spark, monkeypatch, bound, broadcast):
+    if bound is not None:
+        monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", bound)
+    current, batch = catalog.current_and_batch(spark, SF_SMALL)
+    out = snapshot.insert_ignore(current, batch)
+    assert out.count() == catalog.listings(spark, SF_SMALL).count()
