@@ -36,6 +36,7 @@ TILE = 512
 FULL = TILE * TILE // 16
 LEAST, LONGEST, TOP = 30, 4, 2000
 SHARES = 16
+CODEC = "zstd"  # of stored chunks: two thirds of their size otherwise
 UNKNOWN = "und"
 
 #: Characters that end a piece, as one of them.
@@ -193,7 +194,7 @@ def _next_chunks(chunks: DataFrame, requests: DataFrame, units: DataFrame, keys:
     joined = chunks.join(known, "chunk").select(
         "chunk", "lang", "codes", "units", F.col("_known.place").alias("places"), F.col("_known.unit").alias("ranks")
     )
-    return stored(joined.mapInArrow(_recode, CODED), name)
+    return stored(joined.mapInArrow(_recode, CODED), name, CODEC)
 
 
 def _ranked(units: DataFrame, ties: list[str]) -> DataFrame:
@@ -265,7 +266,7 @@ def collocations(
     """
     texts = df.select(F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"))
     chunks = stored(
-        texts.mapInArrow(_chunks, "chunk long, lang string, codes binary, words array<string>, counts array<long>"), "chunks"
+        texts.mapInArrow(_chunks, "chunk long, lang string, codes binary, words array<string>, counts array<long>"), "chunks", CODEC
     )
     total = chunks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)).alias("n"))
     listed = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "_w"))

@@ -9,8 +9,8 @@ from abode.session import scratch_path
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again.
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again, compressed by ``codec`` or as the session says.
 
     What comes after reads the table alone, so the shuffle files of the write
     are dropped when it ends, not when the driver next collects garbage.
@@ -19,7 +19,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
