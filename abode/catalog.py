@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from abode import functions as AF
-from abode.operators import churn, peers, reports, search_index, snapshot
+from abode.operators import churn, peers, reports, search_index, snapshot, sql_functions
 from abode.operators.enrich import cast_columns, enrich
 from abode.params import (
     AS_OF,
@@ -32,7 +32,7 @@ from abode.plans.batch_run import RunConfig, plan_run, run_batch
 from abode.schemas import ENRICHED, LISTING_COLUMNS, PEER_STATE, PRICE_TYPE, RAW_JSON
 from abode.session import scratch_path
 from abode.sinks import write_raw_jsonl, write_snapshot
-from abode.sources import raw_listings, read_raw_jsonl, read_snapshot
+from abode.sources import raw_listings, read_raw_jsonl, read_snapshot, split_raw_jsonl
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,8 +64,8 @@ def store(spark: SparkSession, df: DataFrame, name: str, partition_by_city: bool
 def stored_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listings table as a stored snapshot.
 
-    Changes and one-address reports read the table several times (sample
-    histogram, boundary, the change itself; lookup and peers), so the
+    Changes and the reports on all listings read the table several times (sample
+    histogram, boundary, the change itself; averages and listings), so the
     derivation from the supplied tables is written once instead of being
     recomputed per pass.
     """
@@ -357,6 +357,34 @@ def q_change_in_place(spark, sf_dir):
     return in_place.read_parts(spark, path).select(*LISTING_COLUMNS)
 
 
+def q_quarantine_raw_lines(spark, sf_dir):
+    """Lines of a batch by what became of them: a third is cut short, has a text as size, or isn't an object."""
+    raw = raw_listings(spark, sf_dir)
+    line = F.to_json(F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_JSON.fields if f.name in raw.columns]))
+    kind = F.col("source_id") % 9
+    text = (
+        F.when(kind == 3, F.expr("substring(line, 1, length(line) - 1)"))
+        .when(kind == 5, F.regexp_replace("line", '"sqft":[^,]*', '"sqft":"n/a"'))
+        .when(kind == 7, F.concat(F.lit("["), F.col("line"), F.lit("]")))
+        .otherwise(F.col("line"))
+    )
+    path = scratch_path(spark, "raw_with_bad_lines")
+    raw.select("source_id", line.alias("line")).select(text.alias("value")).write.text(path)
+    good, rejects = split_raw_jsonl(spark, path)
+    outcomes = good.select(F.lit("accepted").alias("reason"), F.lit("").alias("fields")).unionByName(
+        rejects.select("reason", F.array_join("fields", ",").alias("fields"))
+    )
+    return outcomes.groupBy("reason", "fields").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _sql_function(query: str):
+    def run(spark, sf_dir):
+        sql_functions.register(spark, listings(spark, sf_dir), "listings_of_functions")
+        return spark.sql(query, args={"address": SELECTED_ADDRESS})
+
+    return run
+
+
 def q_listing_lookup_bloom(spark, sf_dir):
     path = scratch_path(spark, "with_bloom")
     write_snapshot(listings(spark, sf_dir), path, bloom_addresses=100_000)
@@ -419,6 +447,12 @@ def queries() -> dict[str, Query]:
         "kept_compare_by_sqft": _kept(peers.compare_kept, "sqft"),
         "kept_overlay_by_age": _kept(peers.overlay_kept, "age"),
         "kept_price_vs_age_peers": q_kept_price_vs_age_peers,
+        "quarantine_raw_lines": q_quarantine_raw_lines,
+        "function_similar_homes": _sql_function("SELECT * FROM similar_homes(:address)"),
+        "function_compare_by_sqft": _sql_function("SELECT sqft_range, avg_listing_price FROM compare_by_sqft(:address) ORDER BY sqft_range"),
+        "function_overlay_by_age": _sql_function(
+            "SELECT age_range, avg_listing_price, selected_price, price_minus_avg FROM compare_by_age(:address) ORDER BY place NULLS LAST"
+        ),
         "listing_lookup_bloom": q_listing_lookup_bloom,
         "address_search_indexed": q_address_search_indexed,
         "change_in_place": q_change_in_place,

@@ -233,6 +233,12 @@ FROM listings l FULL OUTER JOIN delta d ON l.listing_id = d.listing_id"""
 def oracle_sql() -> dict[str, str]:
     churn_listings = _churn_ctes("listings", "l")
     full_run = BASE + INSERT_CTES + _churn_ctes("inserted", "r")
+    similar = (
+        BASE
+        + _segment_cte()
+        + f"\nSELECT {', '.join('l.' + c for c in LISTING_COLUMNS)} FROM listings l "
+        "JOIN sel s ON l.city = s.city AND l.property_type = s.property_type"
+    )
     lookup = f"{BASE}\nSELECT {LCOLS} FROM listings WHERE address = {_q(SELECTED_ADDRESS)}"
     address_search = (
         f"{BASE}\nSELECT listing_id, address FROM listings WHERE contains(lower(address), lower({_q(SEARCH_TERM)}))"
@@ -245,6 +251,9 @@ def oracle_sql() -> dict[str, str]:
         # sources and sinks
         "scan_raw_jsonl": f"{BASE}\n{ENRICHED_SELECT}",
         "scan_snapshot": f"{BASE}\nSELECT {LCOLS} FROM listings",
+        "quarantine_raw_lines": f"WITH {RAW_CTE}\nSELECT reason, CASE WHEN reason = 'wrong type' THEN 'sqft' ELSE '' END AS fields, "
+        "count(*) AS n FROM (SELECT CASE source_id % 9 WHEN 3 THEN 'not JSON' WHEN 5 THEN 'wrong type' WHEN 7 THEN 'not an object' "
+        "ELSE 'accepted' END AS reason FROM raw) GROUP BY ALL",
         "sink_parquet_roundtrip": f"{BASE}\n{ENRICHED_SELECT}",
         "sql_listing_lookup": f"{BASE}\nSELECT *, {DAYS_SQL} AS days_on_market FROM listings "
         f"WHERE address = {_q(SELECTED_ADDRESS)}",
@@ -274,10 +283,10 @@ def oracle_sql() -> dict[str, str]:
         "address_options": f"{BASE}\nSELECT address FROM listings WHERE address IS NOT NULL ORDER BY address",
         "address_search": address_search,
         "address_search_indexed": address_search,
-        "similar_listings": BASE
-        + _segment_cte()
-        + f"\nSELECT {', '.join('l.' + c for c in LISTING_COLUMNS)} FROM listings l "
-        "JOIN sel s ON l.city = s.city AND l.property_type = s.property_type",
+        "similar_listings": similar,
+        "function_similar_homes": similar,
+        "function_compare_by_sqft": _compare("sqft_range"),
+        "function_overlay_by_age": _overlay("age_range"),
         "sql_compare_by_sqft": _compare("sqft_range"),
         "sql_compare_by_age": _compare("age_range"),
         "compare_by_sqft": _compare("sqft_range"),

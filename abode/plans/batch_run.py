@@ -23,7 +23,7 @@ from abode.operators.snapshot import high_water_mark, new_listings
 from abode.plans.locations import check_outputs, path_exists, same_path  # noqa: F401 - same_path for callers
 from abode.schemas import LISTING_COLUMNS, PEER_STATE, PRICE_TYPE
 from abode.sinks import write_snapshot
-from abode.sources.files import read_raw_jsonl, read_snapshot
+from abode.sources.files import read_raw_jsonl, read_snapshot, split_raw_jsonl
 
 MARK_SUFFIX = ".id_mark"  # the mark stands beside the snapshot's folder and is there before it
 PEERS_SUFFIX = ".peers"  # so do the sums behind its peer averages
@@ -175,6 +175,7 @@ def write_run(
     mode: str = "errorifexists",
     archive_out: str | None = None,
     peers: bool = False,
+    rejects_out: str | None = None,
 ) -> int:
     """Read snapshot and JSON batch, run, write the new snapshot and id mark.
 
@@ -197,6 +198,7 @@ def write_run(
         "its id mark": beside(snapshot_out, MARK_SUFFIX),
         "its peer sums": beside(snapshot_out, PEERS_SUFFIX),
         "archive_out": archive_out,
+        "rejects_out": rejects_out,
     }
     inputs = {
         "snapshot_in": snapshot_in,
@@ -206,13 +208,17 @@ def write_run(
     }
     check_outputs(spark, inputs, outputs)
     if mode == "errorifexists":
-        for name, path in (("snapshot_out", snapshot_out), ("archive_out", archive_out)):
+        for name, path in (("snapshot_out", snapshot_out), ("archive_out", archive_out), ("rejects_out", rejects_out)):
             if path and path_exists(spark, path):
                 raise FileExistsError(f"{name} {path} exists; a run writes a new path, or repeats one with mode='overwrite'")
     current = read_snapshot(spark, snapshot_in)
     stored = read_mark(spark, snapshot_in)
     mark = stored if stored is not None else high_water_mark(current)
-    raw_batch = read_raw_jsonl(spark, batch_path)
+    if rejects_out:
+        raw_batch, rejects = split_raw_jsonl(spark, batch_path)
+        rejects.write.mode(mode).parquet(rejects_out)
+    else:
+        raw_batch = read_raw_jsonl(spark, batch_path)
     if archive_out:
         write_snapshot(enrich(raw_batch), archive_out, sort_by_address=False, mode=mode)
     result, changes = plan_run(current, raw_batch, mark, config)

@@ -92,6 +92,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused path below the shared checkpoint folder."""
+    """A fresh, never-reused path below the shared checkpoint folder.
+
+    Its folder is removed when the session's JVM ends: results that read it are lazy, so not before.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/abode-scratch/{uuid.uuid4().hex}/{name}"
+    folder = f"{base}/abode-scratch/{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(place)
+    fs.deleteOnExit(place)
+    return f"{folder}/{name}"

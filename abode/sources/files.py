@@ -27,6 +27,40 @@ def read_raw_jsonl(
     return reader.schema(schema).json(path)
 
 
+NOT_JSON, NOT_OBJECT, WRONG_TYPE = "not JSON", "not an object", "wrong type"
+
+
+def split_raw_jsonl(spark: SparkSession, path: str, schema: T.StructType = RAW_JSON) -> tuple[DataFrame, DataFrame]:
+    """Good rows of a raw batch, and the lines that don't fit its schema.
+
+    The rejects have ``file``, ``line`` (the text as it came), ``reason`` and ``fields``:
+    a line is not JSON, not an object, or has values of a wrong type, whose fields are
+    named. Blank lines count as neither, and text after a complete object is not
+    seen, as Spark's parser stops there. An array of objects is rejected as a
+    whole, though :func:`read_raw_jsonl` takes it apart. Both frames read the batch; nothing is
+    kept in memory.
+    """
+    kept = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    rows = lines.select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.from_json("value", kept, options).alias("row")
+    )
+    bad = F.col("row").isNull() | F.col("row._corrupt_record").isNotNull()
+    good = rows.where(~bad).select(*[F.col(f"row.{c}").alias(c) for c in schema.fieldNames()])
+    parsed = F.try_parse_json("line")
+    reason = (
+        F.when(parsed.isNull(), NOT_JSON)
+        .when(~F.schema_of_variant(parsed).startswith("OBJECT"), NOT_OBJECT)
+        .otherwise(WRONG_TYPE)
+    )
+    # present and not null in the line, null in the row
+    fields = [F.when(F.get_json_object("line", f"$.{c}").isNotNull() & F.col(f"row.{c}").isNull(), c) for c in schema.fieldNames()]
+    wrong = F.when(F.col("reason") == WRONG_TYPE, F.array_compact(F.array(*fields))).otherwise(F.array().cast("array<string>"))
+    rejects = rows.where(bad).withColumn("reason", reason).select("file", "line", "reason", wrong.alias("fields"))
+    return good, rejects
+
+
 def read_snapshot(
     spark: SparkSession, path: str, schema: T.StructType = LISTINGS, city: str | None = None
 ) -> DataFrame:

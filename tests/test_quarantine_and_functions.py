@@ -1,0 +1,74 @@
+"""Rejected lines of a batch, and the dashboard's questions as SQL functions."""
+
+import json
+
+import pytest
+
+from abode import catalog
+from abode.operators import reports, sql_functions
+from abode.params import SELECTED_ADDRESS
+from abode.plans.batch_run import RunConfig, write_run
+from abode.sinks import write_snapshot
+from abode.sources import read_snapshot, split_raw_jsonl
+from tests.conftest import SF_SMALL
+from tests.helpers import listing_frame, listing_row
+from tests.test_sources_and_runs import GOOD, _write_lines
+
+BAD = ["{bad", "[1,2]", "5", '"x"', "null", json.dumps({**GOOD, "sqft": "n/a"}), json.dumps({**GOOD, "age": [1], "street_number": 2.5}), json.dumps(GOOD)[:-1]]
+
+
+def test_lines_are_split(spark, scratch):
+    path = _write_lines(scratch("lines"), [json.dumps(GOOD), "", *BAD, json.dumps({"city": None, "unknown": {"a": 1}}), "  "])
+    good, rejects = split_raw_jsonl(spark, path)
+    assert sorted(str(r["city"]) for r in good.collect()) == ["None", "Springfield"]
+    found = {r["line"]: (r["reason"], r["fields"]) for r in rejects.collect()}
+    assert set(found) == set(BAD)
+    assert [found[b][0] for b in BAD] == ["not JSON"] + ["not an object"] * 4 + ["wrong type"] * 2 + ["not JSON"]
+    assert found[BAD[5]][1] == ["sqft"] and sorted(found[BAD[6]][1]) == ["age", "street_number"]
+    assert all(r["file"].endswith("part-0.json") for r in rejects.collect())
+
+
+def test_a_run_keeps_rejects_aside(spark, scratch):
+    base = scratch("rejects")
+    write_snapshot(listing_frame(spark, [listing_row(1, "1 Main, Springfield")]), f"{base}/v0")
+    batch = _write_lines(f"{base}/batch", [json.dumps(GOOD), *BAD])
+    cfg = RunConfig(1, 2, "0.02", "0.02")
+    with pytest.raises(Exception):
+        write_run(spark, f"{base}/v0", batch, f"{base}/v1", cfg)
+    with pytest.raises(ValueError):
+        write_run(spark, f"{base}/v0", batch, f"{base}/v2", cfg, rejects_out=f"{base}/v2/rejects")
+    assert write_run(spark, f"{base}/v0", batch, f"{base}/v2", cfg, rejects_out=f"{base}/rejects") == 2
+    assert spark.read.parquet(f"{base}/rejects").count() == len(BAD)
+    assert read_snapshot(spark, f"{base}/v2").count() == 2
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    stored = catalog.stored_listings(spark, SF_SMALL)
+    sql_functions.register(spark, stored, "listings_in_test")
+    return stored
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_functions_answer_as_the_reports(spark, table):
+    for address in (SELECTED_ADDRESS, "no such, place", "it's; DROP"):
+        args = {"a": address}
+        assert rows(spark.sql("SELECT * FROM listing_by_address(:a)", args=args)) == rows(reports.listing_lookup(table, address))
+        assert sorted(rows(spark.sql("SELECT * FROM similar_homes(:a)", args=args))) == sorted(
+            rows(reports.similar_listings(table, address).select(*table.columns))
+        )
+        ages = spark.sql("SELECT age_range, avg_listing_price, selected_price, price_minus_avg FROM compare_by_age(:a) ORDER BY place NULLS LAST", args=args)
+        assert rows(ages) == rows(reports.overlay_by_age(table, address))
+    found = spark.sql("SELECT * FROM search_addresses('Nation_1')")
+    assert sorted(rows(found)) == sorted(rows(reports.address_search(table, "Nation_1")))
+
+
+def test_filters_pass_through_a_function(spark, table):
+    df = spark.sql("SELECT listing_id FROM similar_homes(:a) WHERE sqft > 2000", args={"a": SELECTED_ADDRESS})
+    df.collect()
+    scans = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+    assert any(f"EqualTo(address,{SELECTED_ADDRESS})" in x for x in scans)
+    assert any("GreaterThan(sqft,2000)" in x and "street_name" not in x for x in scans)
