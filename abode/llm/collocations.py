@@ -36,6 +36,7 @@ TILE = 512
 FULL = TILE * TILE // 16
 LEAST, LONGEST, TOP = 30, 4, 2000
 SHARES = 16
+CHUNKS_AT_A_TIME = 2  # a chunk's row is a megabyte or two
 CODEC = "zstd"  # of stored chunks: two thirds of their size otherwise
 UNKNOWN = "und"
 
@@ -194,7 +195,7 @@ def _next_chunks(chunks: DataFrame, requests: DataFrame, units: DataFrame, keys:
     joined = chunks.join(known, "chunk").select(
         "chunk", "lang", "codes", "units", F.col("_known.place").alias("places"), F.col("_known.unit").alias("ranks")
     )
-    return stored(joined.mapInArrow(_recode, CODED), name, CODEC)
+    return stored(joined.mapInArrow(_recode, CODED), name, CODEC, CHUNKS_AT_A_TIME)
 
 
 def _ranked(units: DataFrame, ties: list[str]) -> DataFrame:
@@ -288,7 +289,7 @@ def collocations(
     for length in range(2, LONGEST + 1):
         counted = coded.mapInArrow(_count, "chunk long, place int, first long, second long, n long")
         counts = counted.groupBy("first", "second").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-        phrases = _ranked(_longer(stored(counts, f"counts_{length}"), units), ["first", "second"])
+        phrases = _ranked(_longer(stored(counts, f"counts_{length}", arrow_rows=CHUNKS_AT_A_TIME), units), ["first", "second"])
         found.append(phrases)
         if length < LONGEST:
             requests = counted.select("chunk", "place", "first", "second")

@@ -2,29 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from abode.session import scratch_path
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    if value is not None:
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if value is not None:
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None, arrow_rows: int | None = None) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again, compressed by ``codec`` or as the session says.
 
     What comes after reads the table alone, so the shuffle files of the write
-    are dropped when it ends, not when the driver next collects garbage.
+    are dropped when it ends, not when the driver next collects garbage. Where rows are large, ``arrow_rows``
+    says how many of them go to Python at a time.
     """
     spark = df.sparkSession
-    path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    path = scratch_path(spark, name)
+    with _setting(spark, CLEANUP, "true"), _setting(spark, ARROW_ROWS, arrow_rows and str(arrow_rows)):
         df.write.parquet(path, compression=codec)
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many ``_`` before it as make it no column of ``df``, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def forget(table: DataFrame) -> None:
     """Deletes what :func:`stored` wrote, once nothing that is still to run reads it."""
     spark = table.sparkSession
