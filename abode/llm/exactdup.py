@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from abode.llm.tables import unused
+from abode.plans.joins import bounded_broadcast
 from abode.plans.materialize import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -91,16 +93,29 @@ def exact_groups(
 
 
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
-    """The rows of ``df`` that :func:`exact_groups` keeps, with all their columns.
+    """The rows of ``df`` that :func:`exact_groups` keeps, with all their columns, whatever their names.
 
     Rows that agree in identifier and normalised text count as one row; one of
     them stays. Rows with a null identifier stay only if their group has no other.
+
+    Only identifiers and digests are shuffled: what goes is looked up by them, and
+    the texts stay where they are while that is small enough to broadcast.
     """
-    kept = exact_groups(df, id_col, text_col, keep).filter("kept").select(
-        F.col(id_col).alias("_kid"), F.col("text_sha256").alias("_sha")
+    groups = exact_groups(df, id_col, text_col, keep).select(
+        F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_digest"), "kept"
     )
+    marks = groups.groupBy("_id", "_digest").agg(F.max("kept").alias("_stays"), F.count(F.lit(1)).alias("_rows"))
+    marks, _ = bounded_broadcast(marks.where("not _stays or _rows > 1"))
     norm = ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    marked = df.withColumn("_row_sha", F.sha2(norm, 256))
-    on = F.col(id_col).eqNullSafe(F.col("_kid")) & (F.col("_row_sha") == F.col("_sha"))
-    out = marked.join(kept, on, "left_semi")
-    return out.dropDuplicates([id_col, "_row_sha"]).select(*[F.col(f"`{c}`") for c in df.columns])
+    sha = unused(df, "row_digest")
+    rows = df.withColumn(sha, F.unhex(F.sha2(norm, 256)))
+    names = {c: unused(rows, c) for c in marks.columns}
+    marks = marks.withColumnsRenamed(names)
+    key, digest, stays, repeated = (F.col(names[c]) for c in ("_id", "_digest", "_stays", "_rows"))
+    on = F.col(id_col).eqNullSafe(key) & (F.col(sha) == digest)
+    # marked rows go; one of those that repeat a row that stays comes back
+    out = rows.join(marks, on, "left_anti")
+    if not marks.where(stays & (repeated > 1)).isEmpty():
+        again = rows.join(marks.where(stays), on, "left_semi")
+        out = out.unionByName(again.dropDuplicates([id_col, sha]))
+    return out.drop(sha)

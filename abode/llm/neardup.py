@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 
 from abode.llm.batches import map_batches
 from abode.llm.components import components
+from abode.llm.tables import unused
 from abode.llm.words import U, mix, multipliers, runs, word_hashes, words
+from abode.plans.joins import bounded_broadcast
 from abode.plans.materialize import materialize
 
 WORDS, PERCENT = 5, 75
@@ -216,6 +218,12 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``df`` that :func:`near_groups` keeps, with all their columns."""
-    gone = near_groups(df, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    return df.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    """The rows of ``df`` that :func:`near_groups` keeps, with all their columns, whatever their names.
+
+    Rows without an identifier stay. Texts are not shuffled for it while the identifiers that
+    go are few enough to broadcast.
+    """
+    name = unused(df, "gone_id")
+    gone = near_groups(df, id_col, text_col, percent).where("not kept").select(F.col(id_col).alias(name)).distinct()
+    gone, _ = bounded_broadcast(gone)
+    return df.join(gone, F.col(id_col) == F.col(name), "left_anti")

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -131,10 +133,13 @@ def find(text: str) -> list[tuple[int, int, int, float]]:
     """
     out = [(s, k, e, score(text, KINDS[k], s, e)) for k in range(BASE) for s, e in FINDERS[k](text)]
     taken = sorted((s, e) for s, _, e, _ in out)
+    starts = [s for s, _ in taken]
+    reach = list(accumulate((e for _, e in taken), max))  # how far spans up to there go
     for k in range(BASE, len(KINDS)):
         for s, e in FINDERS[k](text):
             value = score(text, KINDS[k], s, e)
-            if value >= LEAST and not any(a < e and s < b for a, b in taken):
+            before = bisect_left(starts, e)
+            if value >= LEAST and not (before and reach[before - 1] > s):
                 out.append((s, k, e, value))
     return sorted(out)
 

@@ -178,7 +178,7 @@ def test_pipeline_stages_on_edge_rows(spark):
     ]
     docs = spark.createDataFrame(EDGE + odd, COLUMNS)
     for _, stage in P.STAGES[:-1]:
-        docs = stage(spark, docs, SF).localCheckpoint()
+        docs = stage(spark, docs, SF).checkpoint()
     kept = Counter(r["doc_id"] for r in docs.collect())
     assert kept == {5: 1, 7: 1, 8: 1, 9: 1, 20: 2, None: 3}
     rows = P.STAGES[-1][1](spark, docs, SF).collect()
