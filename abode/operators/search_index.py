@@ -2,9 +2,10 @@
 
 ``contains`` on the address reads every address. The index keeps, for each run of three
 characters, the ids of the listings whose lower-cased address holds it, in folders by a hash of
-the trigram; and the addresses by a hash of the id. A term of three or more characters
-reads the folders of its trigrams, intersects their lists, and looks only at the
-addresses of the ids that are in all of them. Shorter terms read all addresses.
+the trigram; the length of each list; and the addresses by a hash of the id. A term of three or
+more characters takes its ``RAREST`` trigrams by length, reads their folders, intersects
+their lists, and looks only at the addresses of the ids that are in all of them, which
+``contains`` then decides. Shorter terms read all addresses.
 """
 
 from __future__ import annotations
@@ -18,7 +19,10 @@ from abode.plans.locations import path_exists
 from abode.plans.materialize import materialize
 
 GRAM = 3
+#: Lists that are intersected: those of a term's rarest trigrams. More of them read more than they exclude.
+RAREST = 3
 BUCKET = "gram_bucket"
+LENGTHS = "gram string, n bigint"
 POSTINGS = f"gram string, listing_id bigint, {BUCKET} int"
 ADDRESSES = f"listing_id bigint, address string, {PART} int"
 
@@ -50,6 +54,8 @@ def write_search_index(listings: DataFrame, path: str, buckets: int = 256, parts
     lists = lists.withColumn(BUCKET, gram_bucket(F.col("gram"), buckets)).hint("rebalance", BUCKET)
     # sorted by trigram: row groups of others are skipped
     lists.sortWithinPartitions(BUCKET, "gram", "listing_id").write.partitionBy(BUCKET).parquet(f"{root}/postings")
+    lengths = spark.read.schema(POSTINGS).parquet(f"{root}/postings").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    lengths.sortWithinPartitions("gram").write.parquet(f"{root}/lengths")
     by_id = named.withColumn(PART, id_part(F.col("listing_id"), parts)).hint("rebalance", PART)
     by_id.sortWithinPartitions(PART, "listing_id").write.partitionBy(PART).parquet(f"{root}/addresses")
     layout = spark.range(1).select(F.lit(buckets).alias("buckets"), F.lit(parts).alias("parts"))
@@ -57,19 +63,23 @@ def write_search_index(listings: DataFrame, path: str, buckets: int = 256, parts
 
 
 def candidates(spark: SparkSession, path: str, term: str) -> DataFrame | None:
-    """Ids of the listings that hold every trigram of the term; None if it has none."""
+    """Ids of the listings that hold the term's rarest trigrams; None if it has no trigram."""
     root = path.rstrip("/")
     buckets = spark.read.schema("buckets int, parts int").parquet(f"{root}/layout").first()["buckets"]
     # Spark's own lower(), hash and characters, of one row
-    grams = spark.range(1).select(F.explode(trigrams(F.lit(term))).alias("gram"))
-    wanted = grams.select("gram", gram_bucket(F.col("gram"), buckets).alias("b")).collect()
-    if not wanted:
+    grams = [r["gram"] for r in spark.range(1).select(F.explode(trigrams(F.lit(term))).alias("gram")).collect()]
+    if not grams:
         return None
-    lists = spark.read.schema(POSTINGS).parquet(f"{root}/postings").where(F.col(BUCKET).isin(sorted({r["b"] for r in wanted})))
-    lists = lists.where(F.col("gram").isin([r["gram"] for r in wanted]))
+    lengths = spark.read.schema(LENGTHS).parquet(f"{root}/lengths").where(F.col("gram").isin(grams))
+    known = lengths.select("gram", "n", gram_bucket(F.col("gram"), buckets).alias("b")).collect()  # a row a trigram of the term
+    lists = spark.read.schema(POSTINGS).parquet(f"{root}/postings")
+    if len(known) < len(grams):  # one that no address has
+        return lists.select("listing_id").limit(0)
+    wanted = sorted(known, key=lambda r: (r["n"], r["gram"]))[:RAREST]
+    lists = lists.where(F.col(BUCKET).isin(sorted({r["b"] for r in wanted})) & F.col("gram").isin([r["gram"] for r in wanted]))
     # counted before the shuffle, so that a list's length doesn't gather anywhere
-    held = lists.groupBy("listing_id").agg(F.count_distinct("gram").alias("n")) if len(wanted) > 1 else lists.withColumn("n", F.lit(1))
-    return held.where(F.col("n") == len(wanted)).select("listing_id").distinct()
+    held = lists.groupBy("listing_id").agg(F.count_distinct("gram").alias("n"))
+    return held.where(F.col("n") == len(wanted)).select("listing_id")
 
 
 def search_by_index(spark: SparkSession, path: str, term: str) -> DataFrame:

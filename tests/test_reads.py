@@ -23,6 +23,8 @@ def scan_rows(df):
             found += node.metrics().get("numOutputRows").get().value()
         if node.nodeName().startswith("AdaptiveSparkPlan"):
             walk(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            walk(node.plan())
         children = node.children().iterator()
         while children.hasNext():
             walk(children.next())
