@@ -1,10 +1,16 @@
+"""Physical plans of the main operators, as Markdown."""
+
+from pathlib import Path
 import sys, io, contextlib
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from pyspark.sql import functions as F
 from abode.session import build_session
 from abode import catalog
-from abode.operators import churn, reports, snapshot
+from abode.operators import churn, peers, reports, search_index, snapshot
+from abode.params import SELECTED_ADDRESS
+from abode.plans import bucketed
 from abode.plans.batch_run import RunConfig, plan_run
+from abode.session import scratch_path
 spark = build_session("local[8]", shuffle_partitions=8)
 d = "/root/testdata/sf0.01"
 
@@ -27,12 +33,21 @@ def tree(df):
 stored = catalog.stored_listings(spark, d)
 current, raw_batch = catalog.current_and_raw_batch(spark, d)
 snap, changes = plan_run(current, raw_batch, None, RunConfig(88, 89, "0.02", "0.02"))
+buckets = catalog.bucketed_listings(spark, stored)
+half = stored.where("listing_id % 2 = 0").select("listing_id", "listing_price")
+sums, index = scratch_path(spark, "sums"), scratch_path(spark, "index")
+peers.peer_state(stored).write.parquet(sums)
+search_index.write_search_index(stored, index)
 items = [
     ("Full batch run: the snapshot written by a run (after inserts are numbered and both cuts are known)", snap),
     ("Churn delete on a stored snapshot", churn.apply_churn_delete(stored, 88, "0.02")),
     ("Compare by size for one address on a stored snapshot", reports.compare_by_sqft(stored, "1 FURNITURE, NATION_24")),
     ("Every listing vs its size peers", reports.price_vs_sqft_peers(stored)),
     ("Upsert of a small price delta", snapshot.upsert_price(stored, changes.price_delta)),
+    ("Delete of half of a bucketed table by key: only the keys are exchanged", bucketed.delete_by_key_bucketed(buckets, half)),
+    ("Prices for half of a bucketed table: only the delta is exchanged", bucketed.upsert_price_bucketed(buckets, half)),
+    ("Comparison from kept sums", peers.compare_kept(spark.read.parquet(sums), stored, SELECTED_ADDRESS, "sqft")),
+    ("Address search by index: the verification of the ids found", search_index.search_by_index(spark, index, SELECTED_ADDRESS)),
     ("Listings derived from the supplied tables (dedup)", catalog.listings(spark, d)),
 ]
 out = ["# Physical plans of the main operators", "",
