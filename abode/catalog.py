@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from abode import functions as AF
-from abode.operators import churn, peers, reports, search_index, snapshot, sql_functions
+from abode.operators import churn, constraints, peers, reports, search_index, snapshot, sql_functions
 from abode.operators.enrich import cast_columns, enrich
 from abode.params import (
     AS_OF,
@@ -357,6 +357,12 @@ def q_change_in_place(spark, sf_dir):
     return in_place.read_parts(spark, path).select(*LISTING_COLUMNS)
 
 
+def q_broken_constraints(spark, sf_dir):
+    """Raw listings are no table yet: addresses repeat, and every tenth listing is offered twice."""
+    rows = enriched(spark, sf_dir).withColumnRenamed("source_id", "listing_id").select("listing_id", "address")
+    return constraints.broken_constraints(rows.unionByName(rows.where("listing_id % 10 = 0")))
+
+
 def q_quarantine_raw_lines(spark, sf_dir):
     """Lines of a batch by what became of them: a third is cut short, has a text as size, or isn't an object."""
     raw = raw_listings(spark, sf_dir)
@@ -447,6 +453,7 @@ def queries() -> dict[str, Query]:
         "kept_compare_by_sqft": _kept(peers.compare_kept, "sqft"),
         "kept_overlay_by_age": _kept(peers.overlay_kept, "age"),
         "kept_price_vs_age_peers": q_kept_price_vs_age_peers,
+        "broken_constraints": q_broken_constraints,
         "quarantine_raw_lines": q_quarantine_raw_lines,
         "function_similar_homes": _sql_function("SELECT * FROM similar_homes(:address)"),
         "function_compare_by_sqft": _sql_function("SELECT sqft_range, avg_listing_price FROM compare_by_sqft(:address) ORDER BY sqft_range"),

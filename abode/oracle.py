@@ -251,6 +251,12 @@ def oracle_sql() -> dict[str, str]:
         # sources and sinks
         "scan_raw_jsonl": f"{BASE}\n{ENRICHED_SELECT}",
         "scan_snapshot": f"{BASE}\nSELECT {LCOLS} FROM listings",
+        "broken_constraints": f"""WITH {RAW_CTE},
+{ENRICHED_CTE},
+offered AS (SELECT source_id, address FROM enriched UNION ALL SELECT source_id, address FROM enriched WHERE source_id % 10 = 0)
+SELECT 'unique_listing_id' AS constraint, CAST(source_id AS VARCHAR) AS key, count(*) AS n FROM offered GROUP BY source_id HAVING count(*) > 1
+UNION ALL
+SELECT 'unique_address', address, count(*) FROM offered WHERE address IS NOT NULL GROUP BY address HAVING count(*) > 1""",
         "quarantine_raw_lines": f"WITH {RAW_CTE}\nSELECT reason, CASE WHEN reason = 'wrong type' THEN 'sqft' ELSE '' END AS fields, "
         "count(*) AS n FROM (SELECT CASE source_id % 9 WHEN 3 THEN 'not JSON' WHEN 5 THEN 'wrong type' WHEN 7 THEN 'not an object' "
         "ELSE 'accepted' END AS reason FROM raw) GROUP BY ALL",

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from abode.operators.constraints import check_constraints
 from abode.operators.snapshot import assign_ids, dedup_by_address, default_order, high_water_mark
 from abode.plans.locations import check_outputs, path_exists
 from abode.plans.materialize import materialize
@@ -146,15 +147,19 @@ def upsert_price_bucketed(snap: BucketedSnapshot, delta: DataFrame) -> DataFrame
 def write_bucketed_run(
     spark: SparkSession, snapshot_in: str, snapshot_out: str, batch: DataFrame | None = None,
     deleted_keys: DataFrame | None = None, price_delta: DataFrame | None = None, id_mark: int | None = None,
+    check: bool = False,
 ) -> int:
     """New bucketed snapshot from one and changes of any size: insert, delete, set prices.
 
     Every step joins within buckets, so the table is read and written but not
     shuffled on its id; its addresses are dealt anew as they follow the changed rows.
+    With ``check``, broken keys in the snapshot read raise before anything is written.
     Returns the new id mark.
     """
     check_outputs(spark, {"snapshot_in": snapshot_in}, {"snapshot_out": snapshot_out})
     snap = read_bucketed(spark, snapshot_in)
+    if check:
+        check_constraints(snap.listings, snap.addresses)
     mark = high_water_mark(snap.listings) if id_mark is None else int(id_mark)
     table = snap.listings
     if batch is not None:
