@@ -98,8 +98,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     folder = f"{base}/abode-scratch/{uuid.uuid4().hex}"
-    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(place)
-    fs.deleteOnExit(place)
+    if hasattr(spark, "_jvm"):  # a remote session has none
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(place)
+        fs.deleteOnExit(place)
     return f"{folder}/{name}"
