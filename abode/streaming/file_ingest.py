@@ -6,7 +6,7 @@ checkpoint), and ``trigger(availableNow=True)`` processes whatever arrived
 since the last call and then stops, so a scheduler can call
 :func:`ingest_available` on its usual cadence.
 
-Each micro-batch runs :func:`abode.plans.batch_run.run_batch` against the
+Each micro-batch runs :func:`abode.plans.batch_run.plan_run` against the
 previous snapshot version and writes version ``v=<epoch>``. The output path is
 a function of the epoch, so a re-executed epoch rewrites its own version and
 never the one it reads. A stream with a new checkpoint would count epochs from 0
@@ -22,9 +22,10 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abode.plans.batch_run import MARK_SUFFIX, RunConfig, mark_writer, read_mark, run_batch, write_mark
+from abode.operators.peers import apply_changes, peer_changes
+from abode.plans.batch_run import MARK_SUFFIX, PEERS_SUFFIX, RunConfig, mark_writer, plan_run, read_mark, read_peers, write_mark
 from abode.plans.locations import check_outputs
-from abode.schemas import LISTINGS, RAW_JSON
+from abode.schemas import LISTINGS, PEER_STATE, RAW_JSON
 from abode.sinks import write_snapshot
 from abode.sources.files import read_snapshot
 
@@ -41,6 +42,7 @@ class IngestConfig:
     update_pct: Decimal | str | float | None = None
     max_files_per_trigger: int = 1  # one file, one run
     partition_by_city: bool = False
+    peers: bool = False  # carry the sums behind the peer averages from version to version
 
 
 def version_path(root: str, epoch: int) -> str:
@@ -76,7 +78,8 @@ def process_batch(cfg: IngestConfig):
             raise RuntimeError(f"{out} was written by another checkpoint; use that one or a new snapshot_root")
         before = version_path(cfg.snapshot_root, epoch - 1) if epoch else cfg.initial_snapshot
         inputs = {"the version read": before, "landing_dir": cfg.landing_dir, "checkpoint_location": cfg.checkpoint_location}
-        check_outputs(spark, inputs, {"the version written": out, "its id mark": out + MARK_SUFFIX})
+        outputs = {"the version written": out, "its id mark": out + MARK_SUFFIX, "its peer sums": out + PEERS_SUFFIX}
+        check_outputs(spark, inputs, outputs)
         current, mark = _previous(spark, cfg, epoch)
         run_cfg = RunConfig(
             _run_seed(cfg.delete_seed, epoch),
@@ -84,9 +87,13 @@ def process_batch(cfg: IngestConfig):
             cfg.delete_pct,
             cfg.update_pct,
         )
-        result, new_mark = run_batch(current, batch, mark, run_cfg)
+        result, changes = plan_run(current, batch, mark, run_cfg)
         # overwrite only this epoch's own version: a retried epoch is idempotent
-        write_mark(spark, out, new_mark, writer)
+        write_mark(spark, out, changes.new_mark, writer)
+        if cfg.peers:
+            sums = read_peers(spark, before) if before else spark.createDataFrame([], PEER_STATE)
+            sums = apply_changes(sums, peer_changes(changes.new_rows, changes.deleted_rows, changes.repriced_rows))
+            sums.write.mode("overwrite").parquet(out + PEERS_SUFFIX)
         write_snapshot(result, out, partition_by_city=cfg.partition_by_city, mode="overwrite")
 
     return handle

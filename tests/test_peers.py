@@ -110,3 +110,23 @@ def test_runs_carry_the_sums(spark, scratch):
     deleted, repriced = peers.changes_by_key(table, one.select("listing_id").limit(0), one)
     after = snapshot.upsert_price(table, one)
     assert same(peers.apply_changes(kept, peers.peer_changes(table.limit(0), deleted, repriced)), peers.peer_state(after))
+
+
+def test_a_stream_carries_the_sums(spark, scratch):
+    from pathlib import Path
+
+    from abode.streaming.file_ingest import IngestConfig, ingest_available, version_path
+    from tests.test_streaming import _line
+
+    base = Path(scratch("stream_sums").replace("file:", ""))
+    landing = base / "landing"
+    landing.mkdir(parents=True)
+    cfg = IngestConfig(str(landing), str(base / "out"), str(base / "ckpt"), delete_pct="0.03", update_pct="0.03", peers=True)
+    for epoch in range(3):
+        lines = [_line(i, 1000 * epoch + i, city=f"C{i % 3}") for i in range(60)] + [_line(99, 5)]
+        (landing / f"b{epoch}.json").write_text("\n".join(lines) + "\n")
+        ingest_available(spark, cfg)
+        out = version_path(cfg.snapshot_root, epoch)
+        table = read_snapshot(spark, out)
+        assert table.count() > 50 * (epoch + 1)
+        assert same(spark.read.schema(PEER_STATE).parquet(out + PEERS_SUFFIX), peers.peer_state(table))
