@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from abode.llm.batches import map_batches
 from abode.llm.components import components
-from abode.llm.tables import unused
+from abode.llm.tables import few_arrow_rows, unused
 from abode.llm.words import U, mix, multipliers, runs, word_hashes, words
 from abode.plans.joins import bounded_broadcast
 from abode.plans.materialize import materialize
@@ -38,6 +38,7 @@ BIN_BITS, ROWS = 7, 4
 BINS = 1 << BIN_BITS
 BANDS = BINS // ROWS  # a pair at the threshold shares no band with probability (1 - 0.75**4)**32 < 6e-6
 SMALL = 48
+ARROW_ROWS = 1000  # rows of one or two whole texts that go to Python at a time
 _SEEDS, _BAND = multipliers(2 * BINS, 11), multipliers(ROWS, 13)
 
 
@@ -176,6 +177,12 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     share an identifier count as one document. An empty table gives no rows;
     other columns aren't read.
     """
+    with few_arrow_rows(df.sparkSession, ARROW_ROWS):
+        return _near_groups(df, id_col, text_col, percent)
+
+
+def _near_groups(df: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """All Python runs in the stored steps; what is returned joins their rows."""
     rows = materialize(sketches(df, id_col, text_col))
     sets = rows.where("n > 0 and id is not null")
     classes = materialize(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from abode.llm import exactdup, neardup, pii
 from abode.plans import joins
+from abode.plans.materialize import materialize
 
 NAMES = ["_row_sha", "_sha", "_kid", "_gone", "gone_id", "ROW_DIGEST", "_rows", "_stays", "_digest", "kept", "_copy"]
 
@@ -62,3 +63,12 @@ def test_added_spans_overlap_no_base_span():
     base = [(s, e) for s, k, e, _ in found if k < pii.BASE]
     added = [(s, e) for s, k, e, _ in found if k >= pii.BASE]
     assert base and added and not any(a < e and s < b for s, e in added for a, b in base)
+
+
+def test_whole_texts_go_to_python_in_small_batches(spark, documents, monkeypatch):
+    seen = []
+    monkeypatch.setattr(neardup, "materialize", lambda df: (seen.append(df.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")), materialize(df))[1])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    neardup.near_groups(documents.limit(30))
+    assert seen and all(0 < int(n) <= 1000 for n in seen)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
