@@ -3,6 +3,9 @@
 Every stage takes what its predecessor kept, written as Parquet and read again,
 and all but the last return the columns of ``documents``. Stages don't look at
 ``sf_dir`` but for the benchmark table.
+
+Stages that hand whole texts to Python do so ``ARROW_ROWS`` rows at a time. They store what
+they return, as the session's setting counts when a frame is run, not when it is made.
 """
 
 from __future__ import annotations
@@ -11,13 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from abode.llm import bpe, decontam, exactdup, langid, neardup
 from abode.llm.queries import tokenizer_path
-from abode.session import scratch_path
+from abode.llm.tables import few_arrow_rows, forget, stored
+
+ARROW_ROWS = 1000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Profiles learned from the labelled rows that aren't held out; texts without a letter, and only those, go."""
-    profiles = langid.Profiles(langid.train(docs.where(~langid.held_out())))
-    return langid.drop_unknown(docs, profiles)
+    with few_arrow_rows(spark, ARROW_ROWS):
+        profiles = langid.Profiles(langid.train(docs.where(~langid.held_out())))
+        return stored(langid.drop_unknown(docs, profiles), "language")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,14 +38,21 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a test item, within its edit budget, go."""
-    return decontam.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    with few_arrow_rows(spark, ARROW_ROWS):
+        return stored(decontam.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "benchmark_leaks")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and whether they decode to its text."""
+    """Token ids of each document, and whether they decode to its text.
+
+    The ids are stored first, so that no task has a Python worker that encodes and one that decodes.
+    """
     path = tokenizer_path()
-    report = bpe.token_report(bpe.encode_texts(docs, path, digest=True), path)
-    return report.select("doc_id", "n_tokens", "ids_sha256", "round_trip")
+    with few_arrow_rows(spark, ARROW_ROWS):
+        ids = stored(bpe.encode_texts(docs, path, digest=True), "ids")
+        report = stored(bpe.token_report(ids, path).select("doc_id", "n_tokens", "ids_sha256", "round_trip"), "tokens")
+    forget(ids)
+    return report
 
 
 STAGES = [
@@ -53,12 +66,13 @@ STAGES = [
 #: Language profiles, edit distances and the encoder have no SQL; tests hold the rows against plain Python.
 ORACLE_SQL = None
 
+STORED = {"language", "benchmark_leaks"}  # what these return is in the shared folder already
+
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what stands between them is written to the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        out = stage(spark, docs, sf_dir)
+        docs = out if name in STORED else stored(out, name)
     return STAGES[-1][1](spark, docs, sf_dir)

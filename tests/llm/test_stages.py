@@ -1,0 +1,35 @@
+"""What the pipeline's stages hand to Python, however many rows a partition has."""
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from abode.llm import bpe, decontam, langid
+from abode.session import scratch_path
+
+
+@pytest.fixture()
+def few_rows(monkeypatch):
+    """Operators that drop the rows of batches of more than a thousand."""
+
+    @F.pandas_udf("boolean")
+    def few(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(texts) <= 1000] * len(texts))
+
+    only = lambda df, *_, **__: df.where(few(F.col("text")))
+    monkeypatch.setattr(langid, "drop_unknown", only)
+    monkeypatch.setattr(decontam, "drop_leaks", only)
+    monkeypatch.setattr(bpe, "encode_texts", only)
+    monkeypatch.setattr(bpe, "token_report", lambda df, _: df.selectExpr("doc_id", "1 n_tokens", "'' ids_sha256", "true round_trip"))
+
+
+@pytest.mark.parametrize("name", ["language", "benchmark_leaks", "tokens"])
+def test_whole_texts_go_to_python_a_thousand_at_a_time(spark, few_rows, name):
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id doc_id", "concat('text ', id) text", "'en' lang")
+    folder = scratch_path(spark, "bench")
+    spark.createDataFrame([(1, "some item of a benchmark")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, folder)
+    assert out.count() == 3000
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
